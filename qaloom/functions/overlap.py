@@ -15,10 +15,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _batch_matches(max_order: int, chunk_chars: int = 2_000_000) -> Callable:
+def _batch_matches(max_order: int, chunk_chars: int = 50_000) -> Callable:
     """Row-batch function: two string series -> one list of match counts (order 1..n) per row.
 
-    Nested so that it is shipped to executors by value; they need only numpy and pandas.
+    Nested so that it is shipped to executors by value; they need only numpy and pandas. Rows are
+    taken in chunks whose sort stays in the processor cache; a longer text is a chunk of its own.
     """
 
     def matches_of(left: list[str], right: list[str]):

@@ -2,36 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000  # upper bound of the broadcast list of hot keys
+KEY_BUCKETS = 65_536
+HOT_SHARE = 1000  # a bucket is hot above 1/1000 of the rows, so fewer than 1000 buckets can be
+
+
+def _key_bucket(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS))
+
+
+def hot_buckets(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Key buckets that hold more than 1/HOT_SHARE of the rows and more than ``min_rows``.
+
+    Counting hash buckets instead of keys keeps the shuffled counts, and the result, bounded.
+    """
+    counts = df.select(_key_bucket(key).alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_n"))
+    total = F.sum("_n").over(Window.partitionBy())  # over at most KEY_BUCKETS rows
+    return (
+        counts.withColumn("_limit", F.greatest(total / HOT_SHARE, F.lit(min_rows)))
+        .where(F.col("_n") > F.col("_limit"))
+        .select("_bucket", F.lit(True).alias("_hot"))
+    )
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, id_col: str, how: str = "left",
-           salts: int = 64) -> DataFrame:
+           keys: DataFrame | None = None, salts: int = 64, min_rows: int = 10_000) -> DataFrame:
     """Many-to-one join on a key of which one value may hold a large part of ``left``.
 
-    ``right`` has at most one row per key; ``id_col`` is unique in ``left``. The most frequent keys of
-    ``left`` (at most HOT_KEYS, kept as 8-byte hashes, so the broadcast is bounded; a hash shared by
-    two keys only salts one more) are spread over ``salts`` partitions by row id; only their few
-    ``right`` rows are replicated. Returns the left columns and the right side's other columns.
+    ``right`` has at most one row per key; ``id_col`` is unique in ``left``. Left rows of hot buckets are
+    spread over ``salts`` partitions by row id, and only those buckets' right rows are replicated
+    (under HOT_SHARE of KEY_BUCKETS buckets). ``keys`` is a cheaper table with the same left keys, if
+    ``left`` is costly to compute. Returns the left columns and the right side's other columns.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(
-        left.groupBy(F.xxhash64(left_key).alias("_h"))
-        .agg(F.count("*").alias("_cnt"))
-        .where(F.col("_cnt") > salts)
-        .orderBy(F.desc("_cnt"), "_h")
-        .limit(HOT_KEYS)
-        .select("_h", F.lit(True).alias("_hot"))
-    )
+    hot = F.broadcast(hot_buckets(left if keys is None else keys, left_key, min_rows))  # < HOT_SHARE rows
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(id_col), F.lit(salts))).otherwise(F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_left = left.withColumn("_h", F.xxhash64(left_key)).join(hot, "_h", "left")
+    salted_left = left.withColumn("_bucket", _key_bucket(left_key)).join(hot, "_bucket", "left")
     salted_left = salted_left.select(*left.columns, F.col(left_key).alias("_key"), spread.cast("int").alias("_salt"))
-    salted_right = right.withColumn("_h", F.xxhash64(right_key)).join(hot, "_h", "left")
+    salted_right = right.withColumn("_bucket", _key_bucket(right_key)).join(hot, "_bucket", "left")
     salted_right = salted_right.select(
         *[c for c in right.columns if c != right_key], F.col(right_key).alias("_key"), F.explode(copies).alias("_salt")
     )

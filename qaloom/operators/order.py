@@ -154,18 +154,18 @@ def with_next(df: DataFrame, by: str, order: str, cols: dict[str, str], width: i
     row of the group's next chunk.
     """
     chunk = [by, "_c"]
-    inside = Window.partitionBy(*chunk).orderBy(order)
+    chunked = df.withColumn("_c", F.floor(F.col(order) / width))
     payload = F.struct(*[F.col(c).alias(new) for new, c in cols.items()])
-    rows = (
-        df.withColumn("_c", F.floor(F.col(order) / width))
-        .withColumn("_next", F.lead(payload).over(inside))
-        .withColumn("_rn", F.row_number().over(inside))
-    )
-    # a chunk 0 never follows another one, so only later chunks carry their payload here
-    heads = rows.where(F.col("_rn") == 1).select(*chunk, F.when(F.col("_c") > 0, payload).alias("_head"))
-    following = heads.select(*chunk, F.lead("_head").over(Window.partitionBy(by).orderBy("_c")).alias("_head")).where(
-        F.col("_head").isNotNull()
+    rows = chunked.withColumn("_next", F.lead(payload).over(Window.partitionBy(*chunk).orderBy(order)))
+    # which chunk follows which: narrow columns only
+    ahead = F.lead("_c").over(Window.partitionBy(by).orderBy("_c"))
+    follows = chunked.select(*chunk).distinct().select(*chunk, ahead.alias("_ahead")).where(F.col("_ahead").isNotNull())
+    # chunk 0 follows none, so groups shorter than ``width`` read nothing here (a pushed-down filter)
+    heads = (
+        chunked.where(F.col(order) >= width).groupBy(*chunk).agg(F.min_by(payload, order).alias("_head"))
+        .withColumnRenamed("_c", "_ahead")
     )
+    following = follows.join(heads, [by, "_ahead"]).drop("_ahead")
     return (
         rows.join(following, chunk, "left")
         .withColumn("_next", F.coalesce("_next", "_head"))

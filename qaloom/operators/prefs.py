@@ -29,7 +29,7 @@ def join_vectors(pairs: DataFrame, vectors: DataFrame, id_col: str, sides: dict[
     out = pairs
     for name, pointer in sides.items():
         side = vectors.select(F.col(vec_id).alias("_vid"), F.col(embedding).alias(name))
-        out = lookup(out, side, pointer, "_vid", id_col)
+        out = lookup(out, side, pointer, "_vid", id_col, keys=pairs)
     return out
 
 
@@ -38,10 +38,6 @@ def cosine(df: DataFrame, a: str = "chosen_vec", b: str = "rejected_vec", name:
     return df.withColumn(name, dot(F.col(a), F.col(b)))
 
 
-def _gram_count(text: Column, n: int) -> Column:
-    return F.greatest(F.length(text) - (n - 1), F.lit(0))
-
-
 def chrf(df: DataFrame, hyp: str = "rejected", ref: str = "chosen", order: int = CHAR_ORDER, beta: float = BETA,
          name: str = "chrf") -> DataFrame:
     """Character n-gram F-score in 0..1 (Popovic 2015), white space ignored, case kept.
@@ -54,19 +50,21 @@ def chrf(df: DataFrame, hyp: str = "rejected", ref: str = "chosen", order: int =
         "_ref": remove_white_space(F.coalesce(ref, F.lit(""))),
     })
     scored = scored.withColumn("_m", ngram_matches(h, r, order))
-    shorter = F.least(F.length(h), F.length(r))
-    orders = F.least(shorter, F.lit(order))  # order n has n-grams on both sides iff both have n characters
-    precision = sum((_ratio(F.col("_m")[n - 1], _gram_count(h, n)) for n in range(1, order + 1)), F.lit(0.0))
-    recall = sum((_ratio(F.col("_m")[n - 1], _gram_count(r, n)) for n in range(1, order + 1)), F.lit(0.0))
-    scored = scored.withColumns({"_p": precision / F.nullif(orders, F.lit(0)), "_r": recall / F.nullif(orders, F.lit(0))})
+    # order n has n-grams on both sides iff both have at least n characters
+    orders = F.nullif(F.least(F.length(h), F.length(r), F.lit(order)), F.lit(0))
+    scored = scored.withColumns({
+        "_p": _sum_of_ratios(F.col("_m"), F.length(h)) / orders,
+        "_r": _sum_of_ratios(F.col("_m"), F.length(r)) / orders,
+    })
     p, q, b2 = F.col("_p"), F.col("_r"), beta * beta
     score = F.when(p + q > 0, (1 + b2) * p * q / (b2 * p + q)).otherwise(F.lit(0.0))
     return scored.withColumn(name, score).drop("_hyp", "_ref", "_m", "_p", "_r")
 
 
-def _ratio(matches: Column, grams: Column) -> Column:
-    """0 where there are no n-grams; matches are 0 as well if only the other side lacks them."""
-    return F.when(grams > 0, matches / grams).otherwise(F.lit(0.0))
+def _sum_of_ratios(matches: Column, chars: Column) -> Column:
+    """Sum over the orders n of matches / n-grams; a text of ``chars`` characters has chars - n + 1."""
+    ratios = F.transform(matches, lambda m, i: F.when(chars > i, m / (chars - i)).otherwise(F.lit(0.0)))
+    return F.aggregate(ratios, F.lit(0.0), lambda total, x: total + x)
 
 
 def combined_score(df: DataFrame, weights: tuple[float, float] = (COSINE_WEIGHT, CHRF_WEIGHT)) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from qaloom.functions.text import utrim
 from qaloom.operators.dialogs import pairs_from_dialog
-from qaloom.operators.order import with_next
 from qaloom.operators.prefs import join_vectors
 from qaloom.sources.readers import latest_responses
 
@@ -44,30 +43,31 @@ def qa(spark: SparkSession, sf: str) -> DataFrame:
     return pairs_from_dialog(table(spark, sf, "conversations"))
 
 
-# --- preference pairs: the rejected answer is the conversation's next one; every 17th is a copy ---
+# --- preference pairs: copies (every 17th), unrelated and edited texts as rejected answers ---------
 
 PREF_SQL = QA_SQL + """,
 pref AS (
   SELECT qa_id, question AS prompt, answer AS chosen,
-         CASE WHEN qa_id % 17 = 0 THEN answer ELSE coalesce(next_answer, question) END AS rejected,
+         CASE WHEN qa_id % 17 = 0 THEN answer WHEN turn % 4 = 0 THEN question
+              ELSE concat(question, ' ', replace(answer, 'e', 'a')) END AS rejected,
          (conv_id * 13 + turn * 7) % n_vec AS chosen_vec_id,
          CASE WHEN qa_id % 17 = 0 THEN (conv_id * 13 + turn * 7) % n_vec
               ELSE (conv_id * 29 + turn * 11 + 1) % n_vec END AS rejected_vec_id
-  FROM (SELECT *, lead(answer) OVER (PARTITION BY conv_id ORDER BY turn) AS next_answer,
-               (SELECT count(*) FROM embeddings) AS n_vec FROM qa) x)"""
+  FROM (SELECT *, (SELECT count(*) FROM embeddings) AS n_vec FROM qa) x)"""
 
 
 def pref(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = with_next(qa(spark, sf), "conv_id", "turn", {"next_answer": "answer"})
     n_vec = table(spark, sf, "embeddings").agg(F.count("*").alias("n")).scalar()
     copy = F.col("qa_id") % 17 == 0
     own = (F.col("conv_id") * 13 + F.col("turn") * 7) % n_vec
     other = (F.col("conv_id") * 29 + F.col("turn") * 11 + 1) % n_vec
-    return pairs.select(
+    edited = F.concat("question", F.lit(" "), F.replace("answer", F.lit("e"), F.lit("a")))
+    rejected = F.when(copy, F.col("answer")).when(F.col("turn") % 4 == 0, F.col("question")).otherwise(edited)
+    return qa(spark, sf).select(
         "qa_id",
         F.col("question").alias("prompt"),
         F.col("answer").alias("chosen"),
-        F.when(copy, F.col("answer")).otherwise(F.coalesce("next_answer", "question")).alias("rejected"),
+        rejected.alias("rejected"),
         own.alias("chosen_vec_id"),
         F.when(copy, own).otherwise(other).alias("rejected_vec_id"),
     )
