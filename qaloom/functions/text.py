@@ -11,8 +11,9 @@ WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WS = f"[{WHITE_SPACE}]"
-NOT_WS = f"[^{WHITE_SPACE}]"
+# The same set as regular expressions: the Unicode property is far faster than the listed characters.
+WS = r"(?U:[\s\x1c-\x1f])"
+NOT_WS = r"(?U:[^\s\x1c-\x1f])"
 # Fixed value: the 32 ASCII punctuation characters as a regular-expression class.
 ASCII_PUNCTUATION = r"[!-/:-@\[-`{-~]"
 
@@ -37,7 +38,7 @@ def value_or(c: Column, default: str | Column) -> Column:
 
 
 def remove_white_space(c: Column) -> Column:
-    return F.regexp_replace(c, WS, "")
+    return F.regexp_replace(c, WS + "+", "")
 
 
 def words(c: Column) -> Column:
@@ -74,7 +75,7 @@ def normalise_loose(c: Column) -> Column:
 
 def normalise_strict(c: Column) -> Column:
     """Lower case without white space and without any ASCII punctuation."""
-    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), f"{WS}|{ASCII_PUNCTUATION}", "")
+    return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), f"(?:{WS}|{ASCII_PUNCTUATION})+", "")
 
 
 def token_count(c: Column, method: str = "whitespace") -> Column:
