@@ -5,23 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two-character JSON escapes.
-_SHORT_ESCAPES = {"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t", "\b": "\\b", "\f": "\\f"}
+from qaloom.functions.text import bind
+
+# Control characters whose hexadecimal escape has a letter, which is written in lower case.
+_LETTERED = (0x0B, 0x0E, 0x0F, 0x1A, 0x1B, 0x1C, 0x1D, 0x1E, 0x1F)
+_UNESCAPED = r"(?<!\\)((?:\\\\)*)"  # not inside an escaped backslash
 
 
 def json_string(c: Column) -> Column:
     """Quoted, escaped JSON string; null becomes the empty string."""
-    text = F.coalesce(c, F.lit(""))
-    short = text
-    for raw, escaped in _SHORT_ESCAPES.items():
-        short = F.replace(short, F.lit(raw), F.lit(escaped))
-    full = short
-    for code in range(0x20):
-        if chr(code) not in _SHORT_ESCAPES:
-            full = F.replace(full, F.lit(chr(code)), F.lit(f"\\u{code:04x}"))
-    # the rare control characters cost 27 more scans, so only texts that hold one pay for them
-    rare = text.rlike(r"[\x00-\x07\x0b\x0e-\x1f]")
-    return F.concat(F.lit('"'), F.when(rare, full).otherwise(short), F.lit('"'))
+    wrapped = F.to_json(F.struct(F.coalesce(c, F.lit("")).alias("v")))  # {"v":"..."}
+    quoted = F.substr(wrapped, F.lit(6), F.length(wrapped) - 6)
+    return bind(quoted, lambda text: F.when(F.contains(text, F.lit("\\u00")), _lower_hex(text)).otherwise(text))
+
+
+def _lower_hex(text: Column) -> Column:
+    for code in _LETTERED:
+        text = F.regexp_replace(text, rf"{_UNESCAPED}\\u00{code:02X}", rf"$1\\u00{code:02x}")
+    return text
 
 
 def json_object(**fields: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ NOT_WS = r"(?U:[^\s\x1c-\x1f])"
 ASCII_PUNCTUATION = r"[!-/:-@\[-`{-~]"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is computed once, however often ``use`` refers to it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def utrim(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITE_SPACE))
 
@@ -59,7 +66,7 @@ def cut(c: Column, chars: int) -> Column:
 
 def cut_with_dots(c: Column, chars: int) -> Column:
     """Unchanged if it fits; otherwise cut, right-trimmed, and marked with three dots."""
-    return F.when(F.length(c) > chars, F.concat(cut(c, chars), F.lit("..."))).otherwise(c)
+    return bind(c, lambda t: F.when(F.length(t) > chars, F.concat(cut(t, chars), F.lit("..."))).otherwise(t))
 
 
 def preview(c: Column, chars: int = 200) -> Column:

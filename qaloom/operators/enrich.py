@@ -46,7 +46,7 @@ def derived_answer(response: Column, chars: int = 400) -> Column:
     """The response's own answer, else the content of its first result; cut, possibly empty."""
     own = utrim(F.coalesce(response["answer"], F.lit("")))
     first = one_line(F.try_element_at(response["results"], F.lit(1))["content"])
-    return F.when(own != "", cut(own, chars)).otherwise(cut(F.coalesce(first, F.lit("")), chars))
+    return cut(value_or(own, F.coalesce(first, F.lit(""))), chars)
 
 
 def sources_list(df: DataFrame, id_col: str, k: int = 3) -> DataFrame:
