@@ -21,7 +21,7 @@ def tool_call_check(df: DataFrame, col: str = "output") -> DataFrame:
     wrapped = F.concat(F.lit('{"call": '), F.col("_body"), F.lit("}"))
     call = F.from_json(
         wrapped,
-        "call struct<arguments: struct<query: string>>, _corrupt_record string",
+        "call string, _corrupt_record string",
         {"columnNameOfCorruptRecord": "_corrupt_record"},
     )
     empty = F.col("_body").rlike(rf"^\{{{WS}*\}}$")
