@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 HEX_DIGITS = 4
 MAX_BUCKETS = 16**HEX_DIGITS  # upper bound of every per-bucket table, for any input size
+MAX_BROADCAST_GROUPS = 100_000  # per-group cut positions are broadcast up to this many groups
 
 
 def seeded_key(id_col: str | Column, seed: int = 42) -> Column:
@@ -94,24 +95,36 @@ def keep_first(df: DataFrame, id_col: str, n: int, seed: int = 42, by: tuple[str
         return df.where(at_or_before(df, id_col, n, seed))
     keys = list(by)
     rows = _keyed(df, id_col, seed, keys)
-    needed = _bucket_totals(rows, keys).where(F.col("_before") < n)
-    # buckets wholly inside the limit keep every row; the one that crosses it is ranked
-    crossing = F.col("_before") + F.col("_n") > n
-    ranked = Window.partitionBy(*keys, "_b").orderBy("_pos")
+    totals = _bucket_totals(rows, keys)
+    cuts = _group_cuts(rows, totals, keys, n)
+    if cuts.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS:
+        # one row per group, size checked: the table itself is filtered where it lies
+        limited = _null_safe_join(df, F.broadcast(cuts), keys)
+    else:
+        # joined on (group, bucket), so one group with most of the rows still spreads over all buckets
+        limits = _null_safe_join(totals.where(F.col("_before") < n).select(*keys, "_b"), cuts, keys)
+        limited = _null_safe_join(df.withColumn("_b", _bucket(seeded_key(id_col, seed))), limits, [*keys, "_b"])
+    return limited.where(F.col("_last").isNull() | (position(id_col, seed) <= F.col("_last"))).select(*df.columns)
+
+
+def _group_cuts(rows: DataFrame, totals: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """Per group the position of its n-th row as ``_last``; null for groups with at most n rows."""
+    crossing = (F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n) & (F.col("_total") > n)
+    at = totals.where(crossing).select(*keys, "_b", (n - F.col("_before")).alias("_at"))
+    ranked = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy("_pos"))
     last = (
-        rows.join(needed.where(crossing).select(*keys, "_b", (n - F.col("_before")).alias("_at")), [*keys, "_b"])
-        .withColumn("_rn", F.row_number().over(ranked))
-        .where(F.col("_rn") == F.col("_at"))
-        .select(*keys, "_b", F.col("_pos").alias("_last"))
-    )
-    limits = needed.select(*keys, "_b").join(last, [*keys, "_b"], "left")
-    # joined on (group, bucket), so one group with most of the rows still spreads over all buckets
-    return (
-        df.withColumn("_b", _bucket(seeded_key(id_col, seed)))
-        .join(limits, [*keys, "_b"])
-        .where(F.col("_last").isNull() | (position(id_col, seed) <= F.col("_last")))
-        .select(*[F.col(c) for c in df.columns])
+        _null_safe_join(rows, at, [*keys, "_b"]).withColumn("_rn", ranked).where(F.col("_rn") == F.col("_at"))
+        .select(*keys, F.col("_pos").alias("_last"))
     )
+    whole = totals.where(F.col("_total") <= n).select(*keys).distinct()
+    return last.unionByName(whole, allowMissingColumns=True)
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys that may be null; returns the left columns and the right side's others."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    on = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, on).drop(*[f"_right_{k}" for k in keys])
 
 
 def global_rank(df: DataFrame, id_col: str, seed: int = 42, name: str = "rank") -> DataFrame:

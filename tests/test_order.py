@@ -26,12 +26,14 @@ def test_another_seed_gives_another_order(spark):
     assert ids(order.keep_first(spark.range(200), "id", 20, seed=1)) == set(sorted(range(200), key=lambda i: key(i, 1))[:20])
 
 
-def test_keep_first_by_group_with_one_dominant_group(spark):
-    df = spark.range(600).withColumn("g", F.when(F.col("id") % 10 == 0, F.col("id") % 4).otherwise(9))
+@pytest.mark.parametrize("broadcast_groups", [100_000, 2])
+def test_keep_first_by_group_with_one_dominant_group(spark, monkeypatch, broadcast_groups):
+    monkeypatch.setattr(order, "MAX_BROADCAST_GROUPS", broadcast_groups)
+    df = spark.range(600).withColumn("g", F.when(F.col("id") % 10 == 0, F.col("id") % 4).when(F.col("id") % 25 == 1, None).otherwise(9))
     got = order.keep_first(df, "id", 25, by=("g",)).groupBy("g").agg(F.collect_set("id").alias("ids")).collect()
     groups = {}
     for i in range(600):
-        groups.setdefault(i % 4 if i % 10 == 0 else 9, []).append(i)
+        groups.setdefault(i % 4 if i % 10 == 0 else None if i % 25 == 1 else 9, []).append(i)
     assert {r.g: set(r.ids) for r in got} == {g: set(sorted(m, key=key)[:25]) for g, m in groups.items()}
 
 
