@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.functions.jsontext import json_array, json_object, json_string
-from qaloom.functions.text import cut, cut_with_dots, is_blank, one_line, utrim, value_or
+from qaloom.functions.text import cut, cut_with_dots, one_line, utrim, value_or
 from qaloom.operators.dedupe import first_seen
+from qaloom.operators.filters import flt_blank_answer, flt_blank_question, has_results
 from qaloom.operators.formats import TOOLS_JSON, tool_call_json
 from qaloom.operators.joins import lookup
 from qaloom.operators.order import at_or_before, position
@@ -66,16 +67,20 @@ def join_cache(questions: DataFrame, cache: DataFrame, id_col: str, question: st
 
 def cache_hits(questions: DataFrame, cache: DataFrame, question: str = "question") -> DataFrame:
     """Distinct non-blank questions that have a cached response."""
-    return _distinct_questions(questions, question).join(cache.select(F.col("query").alias("question")), "question", "left_semi")
+    return _distinct_questions(questions, question).join(_cached(cache), "question", "left_semi")
 
 
 def missing_queries(questions: DataFrame, cache: DataFrame, question: str = "question") -> DataFrame:
     """Distinct non-blank questions still to be fetched."""
-    return _distinct_questions(questions, question).join(cache.select(F.col("query").alias("question")), "question", "left_anti")
+    return _distinct_questions(questions, question).join(_cached(cache), "question", "left_anti")
 
 
 def _distinct_questions(questions: DataFrame, question: str) -> DataFrame:
-    return questions.select(utrim(F.col(question)).alias("question")).where(~is_blank(F.col("question"))).distinct()
+    return questions.select(utrim(F.col(question)).alias("question")).transform(flt_blank_question).distinct()
+
+
+def _cached(cache: DataFrame) -> DataFrame:
+    return cache.select(F.col("query").alias("question"))
 
 
 def _digest(c: Column) -> Column:
@@ -98,7 +103,6 @@ class Enrichment:
         require_columns(cache, "query", "response")
         self.id_col, self.limit, self.seed = id_col, limit, seed
         self.k, self.chars, self.answer_chars, self.tools_json = k, chars, answer_chars, tools_json
-        self.require_answer = require_answer
         trimmed = questions.select(
             id_col,
             utrim(F.coalesce("question", F.lit(""))).alias("question"),
@@ -106,9 +110,7 @@ class Enrichment:
         )
         self.cache = cache
         candidates = oversample_limit(trimmed, id_col, limit, oversample, seed)
-        self.candidates = candidates.where(F.col("question") != "")
-        if require_answer:
-            self.candidates = self.candidates.where(F.col("answer") != "")
+        self.candidates = candidates.transform(flt_blank_question).transform(flt_blank_answer, require_answer)
 
     def status(self) -> DataFrame:
         """id, key, status (kept | empty) and cache hit of every first-seen candidate."""
@@ -120,7 +122,7 @@ class Enrichment:
         firsts = first_seen(narrow, "key", position(self.id_col, self.seed))
         responses = self.cache.select(
             _digest(F.col("query")).alias("key"),
-            (F.coalesce(F.size("response.results"), F.lit(0)) > 0).alias("has_results"),
+            has_results(F.col("response")).alias("has_results"),
             (derived_answer(F.col("response"), self.answer_chars) != "").alias("derivable"),
             F.lit(True).alias("cached"),
         )

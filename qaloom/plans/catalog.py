@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from qaloom.functions.text import normalise_strict, words
 from qaloom.functions.overlap import char_bag_overlap
-from qaloom.operators import batches, dedupe, enrich, formats, generate, joins, order, prefs, profiling, runlogs, scoring
+from qaloom.operators import batches, dedupe, enrich, filters, formats, generate, joins, order, prefs, profiling, runlogs, scoring
 from qaloom.operators import splits, toolcalls
 from qaloom.plans import inputs as I
 from qaloom.plans import jobs
@@ -267,6 +267,17 @@ def cache_latest(spark, sf):
     return _flat(I.cache(spark, sf))
 
 
+@query(_with(I.SEED_SQL) + f"SELECT id, answer FROM seed WHERE trim(question, {WS_SQL}) <> '' AND trim(answer, {WS_SQL}) <> ''")
+def flt_blank(spark, sf):
+    seed = I.seed_questions(spark, sf).transform(filters.flt_blank_question).transform(filters.flt_blank_answer)
+    return seed.select("id", "answer")
+
+
+@query(_with(I.CACHE_SQL) + f"SELECT {CACHE_ROW} FROM cache WHERE len(results) > 0")
+def flt_no_result(spark, sf):
+    return _flat(filters.flt_no_result(I.cache(spark, sf)))
+
+
 SEED_CACHE = _with(I.SEED_SQL, I.CACHE_SQL)
 
 
