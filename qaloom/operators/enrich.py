@@ -61,26 +61,28 @@ def sources_list(df: DataFrame, id_col: str, k: int = 3) -> DataFrame:
 
 def join_cache(questions: DataFrame, cache: DataFrame, id_col: str, question: str = "question") -> DataFrame:
     """Every question with the cached response of its trimmed text, or null."""
-    trimmed = questions.withColumn("_q", utrim(F.col(question)))
-    return lookup(trimmed, cache.select("query", "response"), "_q", "query", id_col).drop("_q")
+    keyed = questions.withColumn("_q", _digest(utrim(F.col(question))))
+    return lookup(keyed, cache.select(_digest(F.col("query")).alias("_c"), "response"), "_q", "_c", id_col).drop("_q")
 
 
 def cache_hits(questions: DataFrame, cache: DataFrame, question: str = "question") -> DataFrame:
     """Distinct non-blank questions that have a cached response."""
-    return _distinct_questions(questions, question).join(_cached(cache), "question", "left_semi")
+    return _distinct_questions(questions, question).join(_cached_keys(cache), "key", "left_semi").drop("key")
 
 
 def missing_queries(questions: DataFrame, cache: DataFrame, question: str = "question") -> DataFrame:
     """Distinct non-blank questions still to be fetched."""
-    return _distinct_questions(questions, question).join(_cached(cache), "question", "left_anti")
+    return _distinct_questions(questions, question).join(_cached_keys(cache), "key", "left_anti").drop("key")
 
 
 def _distinct_questions(questions: DataFrame, question: str) -> DataFrame:
-    return questions.select(utrim(F.col(question)).alias("question")).transform(flt_blank_question).distinct()
+    """Grouped by the digest that the cache is then joined on, so the texts are shuffled once."""
+    trimmed = questions.select(utrim(F.col(question)).alias("question")).transform(flt_blank_question)
+    return trimmed.withColumn("key", _digest(F.col("question"))).dropDuplicates(["key"])
 
 
-def _cached(cache: DataFrame) -> DataFrame:
-    return cache.select(F.col("query").alias("question"))
+def _cached_keys(cache: DataFrame) -> DataFrame:
+    return cache.select(_digest(F.col("query")).alias("key"))
 
 
 def _digest(c: Column) -> Column:

@@ -343,7 +343,7 @@ ROWS_SQL = f"""SELECT id, '{formats.TOOLS_JSON}' AS tools_json, question, {CALL_
 COUNTERS_SQL = """SELECT count(*) FILTER (WHERE productive) AS kept, count(*) FILTER (WHERE is_first AND cached) AS cache_hits,
   count(*) FILTER (WHERE is_first AND NOT cached) AS api_calls, count(*) FILTER (WHERE is_first AND NOT productive) AS skipped_empty,
   count(*) FILTER (WHERE NOT is_first) AS skipped_dupe FROM visited"""
-LIMITED = {"limit": 30, "oversample": 4}
+LIMITED = {"limit": 300, "oversample": 4}
 
 
 def _run(spark, sf, **options) -> enrich.Enrichment:
@@ -360,7 +360,7 @@ def tool_rows_derived(spark, sf):
     return _run(spark, sf, require_answer=False).rows()
 
 
-@query(_walk_sql(False, 30, 4) + ROWS_SQL)
+@query(_walk_sql(False, 300, 4) + ROWS_SQL)
 def tool_rows_early_stop(spark, sf):
     return _run(spark, sf, require_answer=False, **LIMITED).rows()
 
@@ -370,7 +370,7 @@ def tool_counters(spark, sf):
     return _run(spark, sf).counters()
 
 
-@query(_walk_sql(False, 30, 4) + COUNTERS_SQL)
+@query(_walk_sql(False, 300, 4) + COUNTERS_SQL)
 def tool_counters_early_stop(spark, sf):
     return _run(spark, sf, require_answer=False, **LIMITED).counters()
 
@@ -753,6 +753,23 @@ def load_text_dataset(spark, sf):
     return jobs.load_dataset(spark, "text_data", where, {"text_data": {"test": 100, "validation": 50}}, "doc_id", only_test=True).select("text")
 
 
+@query(_with(RANKED_DOCS) + f""", formatted AS (
+  SELECT {SPLIT_SQL} AS split, {TOKENS_SQL.format("concat(text, '<|endoftext|>')")} AS t FROM ranked)
+SELECT 'text_data' AS dataset, split, 'doc_id,lang,n_chars,source,split,text' AS columns, count(*) AS n_rows, count(*) AS n_tokenized,
+  false AS is_estimate, CAST(sum(t) AS BIGINT) AS total_tokens_in_sample, CAST(sum(t) AS BIGINT) AS est_total_tokens,
+  round(avg(t), 1) AS avg, min(t) AS min, max(t) AS max, median(t) AS median, true AS has_size FROM formatted GROUP BY split""")
+def profile_stored(spark, sf):
+    """Loads and stores the documents as a dataset, then profiles what is stored."""
+    where = {"text_data": {"raw": f"{sf}/documents.parquet", "mapped": scratch_dir(spark, "mapped")}}
+    jobs.load_dataset(spark, "text_data", where, {"text_data": {"test": 100, "validation": 50}}, "doc_id")
+    report = jobs.profile_datasets(spark, {"text_data": where["text_data"]["mapped"]}, "doc_id", cap=None)
+    columns = F.array_join(F.array_sort("columns"), ",").alias("columns")
+    return report.select(
+        "dataset", "split", columns, "n_rows", "n_tokenized", "is_estimate", "total_tokens_in_sample", "est_total_tokens",
+        "avg", "min", "max", "median", (F.col("size_mb") > 0).alias("has_size"),
+    )
+
+
 # ------------------------------------------------------------------------------ batch hook and streaming
 
 

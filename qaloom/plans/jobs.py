@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.operators import prefs, runlogs
+from qaloom.operators import prefs, profiling, runlogs
 from qaloom.operators.enrich import Enrichment
 from qaloom.operators.formats import apply_format
 from qaloom.operators.generate import sample_questions
@@ -73,6 +73,22 @@ def build_preference_dataset(pairs: DataFrame, out: str, threshold: float = pref
     return prefs.drop_counts(audit)
 
 
+def profile_datasets(spark: SparkSession, paths: dict[str, str], id_col: str, text: str = "text",
+                     cap: int | None = 4000) -> DataFrame:
+    """Per stored dataset and split: path, rows, columns, files, size and token statistics."""
+    report = None
+    for name, path in paths.items():
+        df = read_splits(spark, path)
+        tokens = profiling.token_stats(df, text, id_col, ("split",), cap)
+        part = tokens.join(profiling.size_mb(df, "split"), "split").withColumns({
+            "dataset": F.lit(name), "path": F.lit(path), "columns": F.array(*[F.lit(c) for c in df.columns]),
+        })
+        report = part if report is None else report.unionByName(part)
+    if report is None:
+        raise ValueError("no datasets given")
+    return report
+
+
 def write_curve_reports(runs: DataFrame, out: str) -> None:
     """Loss curves and best evaluation losses as CSV."""
     write_csv(runlogs.run_curves(runs), f"{out}/loss_curves")

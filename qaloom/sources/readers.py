@@ -122,7 +122,7 @@ def read_cache(spark: SparkSession, path: str) -> DataFrame:
 # Layout of one log line, of a metric event, and the mark of a (re)start.
 LOG_LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2},\d{3}) - (\w+) - (.*)$"
 STEP_EVENT = r"^Step (\d+): (.*)$"
-START_MARK = r"(?i)training started|^trainn?ing started"
+START_MARK = r"(?i)\btrain(?:ing|nig) started"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss,SSS"
 
 

@@ -8,40 +8,34 @@ from pyspark.sql import functions as F
 from qaloom import schemas
 from qaloom.operators import enrich
 
-CANNOT = {"answer": "", "results": []}
+NOTHING = {"answer": "", "results": []}
 
 
 def seeded(rows, seed=42):
     return sorted(rows, key=lambda r: (hashlib.md5(f"{seed}|{r[0]}".encode()).hexdigest(), r[0]))
 
 
-def walk(rows, cache, limit, factor, require_answer):
-    """Row-by-row account of the job, as plain bookkeeping."""
-    order = seeded(rows)
-    if limit is not None:
-        order = order[:limit * factor]
-    tally = dict.fromkeys(enrich.COUNTERS, 0)
-    seen, kept = set(), {}
-    for i, q, a in order:
-        if limit is not None and tally["kept"] >= limit:
-            break
-        q, a = (q or "").strip(), (a or "").strip()
-        if q == "" or (require_answer and a == ""):
-            continue
-        if q in seen:
-            tally["skipped_dupe"] += 1
-            continue
-        seen.add(q)
-        hit = cache.get(q)
-        tally["api_calls" if hit is None else "cache_hits"] += 1
-        results = (hit or CANNOT)["results"] or []
-        final = a or ((hit or CANNOT)["answer"] or "").strip() or (results[0].get("content") or "").strip() if results else ""
-        if results and final:
-            tally["kept"] += 1
-            kept[i] = (q, final)
-        else:
-            tally["skipped_empty"] += 1
-    return tally, kept
+def expectation(rows, cache, limit, factor, require_answer):
+    """Outcome of every usable row, cut behind the ``limit``-th kept one."""
+    pool = seeded(rows) if limit is None else seeded(rows)[:limit * factor]
+    usable = [(i, (q or "").strip(), (a or "").strip()) for i, q, a in pool]
+    usable = [(i, q, a) for i, q, a in usable if q and (a or not require_answer)]
+    owner = {q: i for i, q, _ in reversed(usable)}
+    outcomes = []
+    for i, q, a in usable:
+        response = cache.get(q, NOTHING)
+        found = response["results"] or [{"content": ""}]
+        text = a or (response["answer"] or "").strip() or found[0]["content"].strip()
+        good = bool(response["results"]) and text != ""
+        outcomes.append(("dupe" if owner[q] != i else "kept" if good else "empty", q in cache, (i, q, text)))
+    ends = [n + 1 for n, (what, *_) in enumerate(outcomes) if what == "kept"]
+    if limit is not None and limit <= len(ends):
+        outcomes = outcomes[:ends[limit - 1] if limit else 0]
+    what = [o[0] for o in outcomes]
+    hits = [cached for w, cached, _ in outcomes if w != "dupe"]
+    tally = {"kept": what.count("kept"), "cache_hits": sum(hits), "api_calls": len(hits) - sum(hits),
+             "skipped_empty": what.count("empty"), "skipped_dupe": what.count("dupe")}
+    return tally, {i: (q, text) for w, _, (i, q, text) in outcomes if w == "kept"}
 
 
 def frames(spark, rows, cache):
@@ -67,9 +61,9 @@ def sample(seed, n=12, hot=False):
 
 @pytest.mark.parametrize("limit", [0, 3, 99, None])
 @pytest.mark.parametrize("require_answer", [True, False])
-def test_rows_and_counters_equal_the_row_by_row_account(spark, limit, require_answer):
+def test_rows_and_counters(spark, limit, require_answer):
     rows, cache = sample(limit or 7, n=60, hot=True)
-    tally, kept = walk(rows, cache, limit, 2, require_answer)
+    tally, kept = expectation(rows, cache, limit, 2, require_answer)
     got, counters = enrich.enrich(*frames(spark, rows, cache), limit=limit, oversample=2, require_answer=require_answer)
     assert counters.collect()[0].asDict() == tally
     assert {r.id: (r.question, r.answer) for r in got.collect()} == kept
@@ -105,7 +99,7 @@ def test_derived_answer(spark):
 
 def test_work_list_and_hits(spark):
     rows = [(1, " a ", ""), (2, "a", ""), (3, "b", ""), (4, "", ""), (5, None, "")]
-    questions, cache = frames(spark, rows, {"a": CANNOT})
+    questions, cache = frames(spark, rows, {"a": NOTHING})
     assert [r.question for r in enrich.missing_queries(questions, cache).collect()] == ["b"]
     assert [r.question for r in enrich.cache_hits(questions, cache).collect()] == ["a"]
     joined = {r.id: r.response is not None for r in enrich.join_cache(questions, cache, "id").collect()}

@@ -9,7 +9,7 @@ from qaloom.plans import catalog
 SF = "/root/testdata/sf0.01"
 # queries that write files while they are built are covered by the operators they use
 WRITERS = {n for n in catalog.QUERIES if n.startswith(("sink_", "stream_", "stage_", "load_", "publish_"))} | {
-    "questions_jsonl", "cache_jsonl", "runlog_text"}
+    "questions_jsonl", "cache_jsonl", "runlog_text", "profile_stored"}
 
 
 def plan_of(spark, name):
