@@ -87,7 +87,7 @@ def _cached_keys(cache: DataFrame) -> DataFrame:
 
 def _digest(c: Column) -> Column:
     """Fixed-size stand-in for a text as grouping and join key."""
-    return F.sha2(c, 256)
+    return F.unhex(F.sha2(c, 256))
 
 
 class Enrichment:

@@ -23,9 +23,16 @@ def last_session(df: DataFrame, key: tuple[str, ...] = ("stage",)) -> DataFrame:
 
 
 def run_curves(df: DataFrame, metrics: tuple[str, ...] = CURVE_METRICS, key: tuple[str, ...] = ("stage",)) -> DataFrame:
-    """One row per step with a column per metric; restarts resolved to the last session."""
-    series = df.where(F.col("metric").isin(*metrics)).transform(last_session, key)
-    return series.groupBy(*key, "step").pivot("metric", list(metrics)).agg(F.max("value"))
+    """One row per step with a column per metric; restarts resolved to the last session.
+
+    One shuffle: the last session is picked per metric inside the aggregate that also pivots.
+    """
+
+    def latest(metric: str):
+        is_metric = F.col("metric") == metric
+        return F.max_by(F.when(is_metric, F.col("value")), F.when(is_metric, F.col("session"))).alias(metric)
+
+    return df.where(F.col("metric").isin(*metrics)).groupBy(*key, "step").agg(*[latest(m) for m in metrics])
 
 
 def best_checkpoint(df: DataFrame, key: tuple[str, ...] = ("stage",), metric: str = "eval_loss") -> DataFrame:
