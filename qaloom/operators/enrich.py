@@ -90,6 +90,11 @@ def _digest(c: Column) -> Column:
     return F.unhex(F.sha2(c, 256))
 
 
+def _usable() -> Column:
+    """A first-seen row is kept if it has results and either an answer of its own or a derived one."""
+    return F.col("has_results") & (F.col("has_answer") | F.col("derivable"))
+
+
 class Enrichment:
     """One configured run over a question table and a cache table.
 
@@ -114,28 +119,33 @@ class Enrichment:
         candidates = oversample_limit(trimmed, id_col, limit, oversample, seed)
         self.candidates = candidates.transform(flt_blank_question).transform(flt_blank_answer, require_answer)
 
-    def status(self) -> DataFrame:
-        """id, key, status (kept | empty) and cache hit of every first-seen candidate."""
+    def _firsts(self) -> DataFrame:
+        """id, key and has_answer of the first candidate with each question (no texts)."""
         narrow = self.candidates.select(
             F.col(self.id_col),
             _digest(F.col("question")).alias("key"),
             (F.col("answer") != "").alias("has_answer"),
         )
-        firsts = first_seen(narrow, "key", position(self.id_col, self.seed))
+        return first_seen(narrow, "key", position(self.id_col, self.seed))
+
+    def status(self) -> DataFrame:
+        """id, cache hit and status (kept | empty) of every first-seen candidate."""
         responses = self.cache.select(
             _digest(F.col("query")).alias("key"),
             has_results(F.col("response")).alias("has_results"),
-            (derived_answer(F.col("response"), self.answer_chars) != "").alias("derivable"),
+            self._derivable(),
             F.lit(True).alias("cached"),
         )
         flags = {c: F.coalesce(c, F.lit(False)) for c in ("has_results", "derivable", "cached")}
-        usable = F.col("has_results") & (F.col("has_answer") | F.col("derivable"))
         return (
-            firsts.join(responses, "key", "left")
+            self._firsts().join(responses, "key", "left")
             .withColumns(flags)
-            .select(self.id_col, "key", "cached", F.when(usable, "kept").otherwise("empty").alias("status"))
+            .select(self.id_col, "cached", F.when(_usable(), "kept").otherwise("empty").alias("status"))
         )
 
+    def _derivable(self) -> Column:
+        return (derived_answer(F.col("response"), self.answer_chars) != "").alias("derivable")
+
     def _visited(self, status: DataFrame) -> Column:
         """Rows the job reaches: not after the ``limit``-th kept row."""
         if self.limit is None:
@@ -144,10 +154,14 @@ class Enrichment:
 
     def rows(self) -> DataFrame:
         """The kept tool-use rows, with their id."""
-        status = self.status()
-        kept = status.where((F.col("status") == "kept") & self._visited(status)).select(self.id_col, "key")
-        keyed_cache = self.cache.select(_digest(F.col("query")).alias("key"), "response")
-        joined = self.candidates.join(kept, self.id_col).join(keyed_cache, "key")
+        firsts = self._firsts()
+        if self.limit is not None:
+            firsts = firsts.where(self._visited(self.status()))
+        responses = self.cache.select(
+            _digest(F.col("query")).alias("key"), "response", has_results(F.col("response")).alias("has_results"), self._derivable()
+        )
+        kept = firsts.join(responses, "key").where(_usable()).select(self.id_col, "response")
+        joined = self.candidates.join(kept, self.id_col)
         answer = value_or(F.col("answer"), derived_answer(F.col("response"), self.answer_chars))
         return joined.select(
             self.id_col,

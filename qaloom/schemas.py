@@ -32,6 +32,20 @@ RUN_METRIC = T.StructType([
 ])
 
 
+# What the raw table of each dataset kind must hold (further columns, such as an id, are kept).
+DATASETS = {"text_data": TEXT, "qa_data": QA, "dpo_data": DPO, "instruction_data": INSTRUCTION}
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The table unchanged, if it has every column of ``schema`` with its type."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    wrong = [f"{f.name}: {types[f.name].simpleString() if f.name in types else 'missing'}, not {f.dataType.simpleString()}"
+             for f in schema.fields if types.get(f.name) != f.dataType]
+    if wrong:
+        raise ValueError("table does not fit its schema: " + "; ".join(wrong))
+    return df
+
+
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
     """Fail at plan time, with the missing names, instead of deep inside an expression."""
     missing = [n for n in names if n not in df.columns]

@@ -23,8 +23,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def read_columnar(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A saved Parquet table, optionally checked against a fixed schema."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(path)
+    df = spark.read.parquet(path)
+    return df if schema is None else schemas.conform(df, schema)
 
 
 def read_splits(spark: SparkSession, path: str) -> DataFrame:
@@ -47,16 +47,16 @@ def resolve(spark: SparkSession, name: str, locations: dict[str, dict[str, str]]
 
     ``locations[name]`` maps those three to paths; ``published`` may also be a catalog table.
     """
-    places = locations[name]
+    places, schema = locations[name], schemas.DATASETS.get(name)
     if places.get("mapped") and has_splits(spark, places["mapped"]):
         return read_splits(spark, places["mapped"]), "mapped"
     if places.get("raw") and path_exists(spark, places["raw"]):
-        return read_columnar(spark, places["raw"]), "raw"
+        return read_columnar(spark, places["raw"], schema), "raw"
     published = places.get("published")
     if published and "/" not in published and spark.catalog.tableExists(published):
         return spark.table(published), "published"
     if published and "/" in published and path_exists(spark, published):
-        return read_columnar(spark, published), "published"
+        return read_columnar(spark, published, schema), "published"
     raise FileNotFoundError(f"no location of {name!r} exists: {places}")
 
 

@@ -18,13 +18,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 def write_splits(df: DataFrame, path: str, in_place: tuple[str, ...] = ("train",)) -> str:
     """One folder per split.
 
-    The large split(s) are written by the tasks that hold the rows, without a shuffle; the rows of the
-    small ones, which lie scattered over all tasks, are first gathered into files of useful size.
-    Readers take the folder for complete only when every split is there.
+    The rows of small splits lie scattered over all tasks and are gathered into files of useful size;
+    the large split(s) are written by the tasks that hold the rows, without a shuffle. The large ones
+    come last: readers take the folder for complete only when every split is there.
     """
     large = F.col("split").isin(*in_place)
-    df.where(large).write.mode("overwrite").partitionBy("split").parquet(path)
-    df.where(~large).hint("rebalance", "split").write.mode("append").partitionBy("split").parquet(path)
+    df.where(~large).hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(path)
+    df.where(large).write.mode("append").partitionBy("split").parquet(path)
     return path
 
 

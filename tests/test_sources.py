@@ -104,6 +104,13 @@ def test_resolution_order_and_load(spark, tmp_path):
     assert jobs.load_dataset(spark, "qa_data", places, sizes, "id", only_test=True).count() == 5
 
 
+def test_a_table_that_does_not_fit_its_kind_is_refused(spark, tmp_path):
+    path = writers.write_table(spark.createDataFrame([(1, 2)], "question int, other int"), str(tmp_path / "raw"))
+    with pytest.raises(ValueError, match="question: int, not string; answer: missing"):
+        readers.resolve(spark, "qa_data", {"qa_data": {"raw": path}})
+    assert readers.read_columnar(spark, path).count() == 1
+
+
 def test_catalog_table_as_published_copy(spark, tmp_path):
     spark.range(3).createOrReplaceTempView("qa_copy")
     df, origin = readers.resolve(spark, "x", {"x": {"raw": str(tmp_path / "none"), "published": "qa_copy"}})
