@@ -22,3 +22,18 @@ def map_batches(df: DataFrame, fn: Callable, batch_size: int, schema: str | T.St
                 yield fn(frame.iloc[start:start + batch_size])
 
     return df.mapInPandas(run, schema)
+
+
+def map_text(df: DataFrame, source: str, target: str, fn: Callable, batch_size: int, element: T.DataType) -> DataFrame:
+    """Adds ``target`` = ``fn(list of source texts)`` per batch; all other columns pass through.
+
+    ``fn`` returns one value of type ``element`` per text, in order.
+    """
+
+    def run(frame):
+        values = list(fn(frame[source].tolist()))
+        if len(values) != len(frame):
+            raise ValueError(f"batch function returned {len(values)} values for {len(frame)} rows")
+        return frame.assign(**{target: values})
+
+    return map_batches(df, run, batch_size, T.StructType([*df.schema.fields, T.StructField(target, element)]))

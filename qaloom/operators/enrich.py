@@ -186,6 +186,10 @@ class Enrichment:
         reached = self.candidates.select(self.id_col).where(self._visited(status)).agg(F.count("*").alias("n")).scalar()
         return firsts.withColumn("skipped_dupe", reached - F.col("n_first")).select(*COUNTERS)
 
+    def missing(self) -> DataFrame:
+        """Work list: distinct candidate questions that have no cached response yet."""
+        return missing_queries(self.candidates, self.cache)
+
 
 def enrich(questions: DataFrame, cache: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """(tool-use rows, counters); options as in ``Enrichment``."""

@@ -2,24 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qaloom.functions.overlap import ngram_matches
-from qaloom.functions.text import remove_white_space, token_count
-from qaloom.functions.vectors import dot
+from qaloom.functions.text import remove_white_space, token_count, utrim
+from qaloom.functions.vectors import dot, l2_normalise
+from qaloom.operators.batches import map_text
+from qaloom.operators.formats import prompt_generate
 from qaloom.operators.joins import lookup
 from qaloom.schemas import require_columns
 
-# Score weights, drop threshold, n-gram order and recall weight.
+# Score weights, drop threshold, n-gram order, recall weight, model batch sizes.
 COSINE_WEIGHT = 0.7
 CHRF_WEIGHT = 0.3
 THRESHOLD = 0.85
 CHAR_ORDER = 6
 BETA = 2.0
+GENERATE_BATCH = 16
+EMBED_BATCH = 32
 DROP_REASON = "too_similar (score>={})"
 
 
+def generate_rejected(qa: DataFrame, generate: Callable, batch_size: int = GENERATE_BATCH) -> DataFrame:
+    """prompt, chosen, rejected (and the other columns) from question, answer.
+
+    ``generate`` maps a list of open chat prompts to a list of answers, which are trimmed.
+    """
+    prompted = qa.transform(prompt_generate)
+    answered = map_text(prompted, "prompt", "rejected", generate, batch_size, T.StringType())
+    return answered.withColumn("rejected", utrim(F.col("rejected"))).drop("prompt").withColumnsRenamed(
+        {"question": "prompt", "answer": "chosen"}
+    )
+
+
+def embed_sides(pairs: DataFrame, embed: Callable, batch_size: int = EMBED_BATCH) -> DataFrame:
+    """Adds unit vectors ``chosen_vec`` and ``rejected_vec``; ``embed`` maps a list of texts to vectors."""
+    out = pairs
+    for side in ("chosen", "rejected"):
+        out = map_text(out, side, f"{side}_vec", embed, batch_size, T.ArrayType(T.DoubleType()))
+    return out.withColumns({c: l2_normalise(F.col(c)) for c in ("chosen_vec", "rejected_vec")})
+
+
 def join_vectors(pairs: DataFrame, vectors: DataFrame, id_col: str, sides: dict[str, str],
                  vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Attaches one vector column per side; ``sides`` maps the new column to the pair's vector id column.

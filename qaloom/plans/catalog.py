@@ -780,6 +780,25 @@ def map_batches(spark, sf):
     return batches.map_batches(docs, lambda frame: frame.assign(text=frame["text"].str[::-1]), 16, docs.schema)
 
 
+VOWELS = "aeiou "
+VECTOR_SQL = "[" + ", ".join(f"CAST(length({{0}}) - length(replace({{0}}, '{v}', '')) + 1 AS DOUBLE)" for v in VOWELS) + "]"
+
+
+@query(_with(I.QA_SQL) + f""", pairs AS (
+  SELECT qa_id, question AS prompt, answer AS chosen, trim(reverse({USER_SQL.format('question')}), {WS_SQL}) AS rejected FROM qa),
+vectors AS (SELECT *, {VECTOR_SQL.format('chosen')} AS c, {VECTOR_SQL.format('rejected')} AS r FROM pairs)
+SELECT qa_id, prompt, chosen, rejected, round(list_dot_product(c, r) / sqrt(list_dot_product(c, c)) / sqrt(list_dot_product(r, r)), 6) AS cosine
+FROM vectors""")
+def pref_from_models(spark, sf):
+    """Generation and embedding through the batch hook, with stand-in models (reversal, vowel counts)."""
+    vowels = VOWELS
+    generated = prefs.generate_rejected(
+        I.qa(spark, sf).select("qa_id", "question", "answer"), lambda prompts: [p[::-1] for p in prompts]
+    )
+    embedded = prefs.embed_sides(generated, lambda texts: [[t.count(v) + 1.0 for v in vowels] for t in texts])
+    return _rounded(prefs.cosine(embedded).select("qa_id", "prompt", "chosen", "rejected", "cosine"), "cosine")
+
+
 @query(_with(I.CACHE_SQL) + f"SELECT {CACHE_ROW} FROM cache")
 def stream_cache_upsert(spark, sf):
     base = scratch_dir(spark, "stream-cache")

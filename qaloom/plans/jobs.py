@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from qaloom.operators.generate import sample_questions
 from qaloom.operators.splits import split_table
 from qaloom.sources.readers import read_cache, read_questions, read_splits, resolve
 from qaloom.sources.writers import (
-    write_audit_json, write_csv, write_jsonl, write_splits, write_table,
+    stage_resume, write_audit_json, write_csv, write_jsonl, write_splits, write_table,
 )
 
 
@@ -38,7 +40,8 @@ def build_questions(grid: DataFrame, path: str, limit: int = 1000, seed: int = 4
 
 def build_search_dataset(spark: SparkSession, cache_path: str, out: str, questions: DataFrame | None = None,
                          questions_path: str | None = None, limit: int | None = 1000, **options) -> DataFrame:
-    """Writes the tool-use rows to ``out`` and returns the counters.
+    """Writes the tool-use rows to ``out``, the questions still to be searched beside it as JSON lines,
+    and returns the counters.
 
     With ``questions_path`` the questions come from a JSON-lines file, are numbered and stored beside
     the output first, answers are derived, and candidates are not oversampled; a question table needs
@@ -57,9 +60,16 @@ def build_search_dataset(spark: SparkSession, cache_path: str, out: str, questio
     run = Enrichment(source, cache, limit=limit, **{**defaults, **options})
     id_col = run.id_col
     write_table(run.rows().drop(id_col), out)
+    write_jsonl(run.missing(), f"{out}_to_search")
     return run.counters()
 
 
+def generate_pairs(qa: DataFrame, out: str, input_version: str, generate: Callable) -> DataFrame:
+    """prompt, chosen, rejected; the costly generation is stored and reused for the same input version."""
+    pairs, _ = stage_resume(qa.sparkSession, f"{out}/generated", input_version, lambda: prefs.generate_rejected(qa, generate))
+    return pairs
+
+
 def build_preference_dataset(pairs: DataFrame, out: str, threshold: float = prefs.THRESHOLD) -> DataFrame:
     """Scores once into a stored audit table; kept pairs, audit JSON and counts are read from it.
 

@@ -1,7 +1,9 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from qaloom.operators import prefs
 from qaloom.operators.batches import map_batches
 from qaloom.operators.dialogs import pairs_from_dialog
 from qaloom.plans import jobs
@@ -19,6 +21,7 @@ def test_questions_file_to_tool_rows(spark, tmp_path):
     (tmp_path / "cache.jsonl").write_text("\n".join([response("a"), response("b", " "), response("a", "new")]))
     counters = jobs.build_search_dataset(spark, str(tmp_path / "cache.jsonl"), str(tmp_path / "out"), questions_path=questions, limit=5)
     assert counters.collect()[0].asDict() == {"kept": 1, "cache_hits": 2, "api_calls": 1, "skipped_empty": 2, "skipped_dupe": 1}
+    assert [r.value for r in spark.read.text(str(tmp_path / "out_to_search")).collect()] == ['{"question":"c"}']
     row = spark.read.parquet(str(tmp_path / "out")).collect()[0]
     assert (row.question, row.answer, "id" in row.asDict()) == ("a", "new", False)
 
@@ -40,6 +43,22 @@ def test_preference_job(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "dpo" / "audit_json")).count() == 2
 
 
+def test_generated_pairs_are_stored_once(spark, tmp_path):
+    qa = spark.createDataFrame([(i, f"q{i}", "long answer") for i in range(20)], "id int, question string, answer string")
+    echo = lambda prompts: [f"  {p.split(chr(10))[1]} \n" for p in prompts]
+    pairs = jobs.generate_pairs(qa, str(tmp_path), "v1", echo)
+    assert {(r.prompt, r.chosen, r.rejected) for r in pairs.collect()} == {(f"q{i}", "long answer", f"q{i}<|im_end|>") for i in range(20)}
+    again = jobs.generate_pairs(qa, str(tmp_path), "v1", lambda prompts: 1 / 0)
+    assert again.count() == 20
+    scored = prefs.embed_sides(again, lambda texts: [[float(len(t)), 0.0] for t in texts])
+    assert {round(r.cosine, 9) for r in prefs.cosine(scored).collect()} == {1.0}
+
+
+def test_a_batch_function_must_answer_every_row(spark):
+    with pytest.raises(Exception, match="returned 0 values"):
+        prefs.embed_sides(spark.createDataFrame([("a", "b")], "chosen string, rejected string"), lambda texts: []).collect()
+
+
 def test_curve_reports(spark, tmp_path):
     rows = [("s", 1, 10, "loss", 2.0), ("s", 1, 10, "eval_loss", 1.5), ("s", 1, 20, "eval_loss", 1.2)]
     jobs.write_curve_reports(spark.createDataFrame(rows, "stage string, session long, step long, metric string, value double"), str(tmp_path))
