@@ -38,10 +38,7 @@ def qa_f1(df: DataFrame, mode: str = "char_loose", name: str = "f1") -> DataFram
     normalise = NORMALISERS[mode]
     out = df.withColumns({"_p": normalise(F.col("prediction")), "_r": normalise(F.col("reference"))})
     n_pred, n_ref = F.length("_p"), F.length("_r")
-    # equal texts are common and need no counting
-    out = out.withColumn(
-        "_same", F.when(F.col("_p") == F.col("_r"), n_pred).otherwise(char_bag_overlap(F.col("_p"), F.col("_r")))
-    )
+    out = out.withColumn("_same", char_bag_overlap(F.col("_p"), F.col("_r")))
     precision, recall = F.col("_same") / n_pred, F.col("_same") / n_ref
     f1 = (
         F.when((n_pred == 0) & (n_ref == 0), 1.0)

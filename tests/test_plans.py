@@ -51,7 +51,8 @@ def test_scores_need_no_shuffle_of_their_own(spark):
     assert count(scored) <= count(pairs)
     assert len([n for n in scored if n.startswith("ArrowEvalPython")]) == 1
     f1 = nodes(plan_of(spark, "f1_char_loose"))
-    assert not [n for n in f1 if "Python" in n.split("(")[0]]
+    assert len([n for n in f1 if n.startswith("ArrowEvalPython")]) == 1 and count(f1) <= count(pairs)
+    assert not [n for n in scored + f1 if n.startswith("BatchEvalPython")]
 
 
 def test_retained_checkpoints_are_limited_before_the_shuffle(spark):
