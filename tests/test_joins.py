@@ -26,15 +26,17 @@ def test_only_heavy_buckets_are_hot_and_their_rows_are_spread(spark, skewed):
     left, right = skewed
     assert joins.hot_buckets(left, "k", 100).count() == 1
     assert joins.hot_buckets(left, "k", 10_000).count() == 0
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         joined = joins.lookup(left, right, "k", "key", "id", salts=16, min_rows=50).where("k = 'hot'")
         parts = joined.groupBy(F.spark_partition_id()).count().collect()
         assert len(parts) > 4 and sum(r["count"] for r in parts) == 2000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_join_by_id_and_unmatched(spark):
