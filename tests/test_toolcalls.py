@@ -1,5 +1,3 @@
-import pytest
-
 from qaloom.operators import toolcalls
 
 CASES = [
