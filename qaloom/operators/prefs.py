@@ -136,7 +136,7 @@ def length_bias(df: DataFrame, *by: str, method: str = "whitespace") -> DataFram
     aggs = [F.count("*").alias("n_rows")]
     for c in ("prompt", "chosen", "rejected"):
         aggs += [
-            F.round(F.avg(f"_{c}"), 1).alias(f"{c}_avg"),
+            F.bround(F.avg(f"_{c}"), 1).alias(f"{c}_avg"),
             F.min(f"_{c}").cast("bigint").alias(f"{c}_min"),
             F.max(f"_{c}").cast("bigint").alias(f"{c}_max"),
         ]

@@ -16,11 +16,12 @@ def _length_table(df: DataFrame, tokens: Column, by: list[str]) -> DataFrame:
 
 
 def _stats(weight: str = "n") -> list[Column]:
+    """Means are rounded half to even, as Python rounds."""
     total, rows = F.sum(F.col("tokens") * F.col(weight)), F.sum(weight)
     return [
         rows.alias("n_tokenized"),
         total.alias("total_tokens_in_sample"),
-        F.round(total / rows, 1).alias("avg"),
+        F.bround(total / rows, 1).alias("avg"),
         F.min("tokens").alias("min"),
         F.max("tokens").alias("max"),
         F.percentile("tokens", F.lit(0.5), F.col(weight)).alias("median"),
@@ -81,7 +82,7 @@ def size_mb(df: DataFrame, *by: str) -> DataFrame:
     """Bytes / 1e6 of the files behind a file-based table, per group of (partition) columns."""
     files = df.select(*by, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
     per_file = files.groupBy(*by, "path").agg(F.max("bytes").alias("bytes"))
-    return per_file.groupBy(*by).agg(F.count("*").alias("n_files"), F.round(F.sum("bytes") / 1e6, 2).alias("size_mb"))
+    return per_file.groupBy(*by).agg(F.count("*").alias("n_files"), F.bround(F.sum("bytes") / 1e6, 2).alias("size_mb"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40, method: str = "whitespace") -> DataFrame:

@@ -55,8 +55,8 @@ def qa_scores(df: DataFrame, *by: str, em_mode: str = "trim", f1_mode: str = "ch
         F.count("*").alias("n_rows"), F.avg("em").alias("exact_match"), F.avg("f1").alias("f1")
     )
     return means.withColumns({
-        "exact_match_pct": F.round(F.col("exact_match") * 100, 2),
-        "f1_pct": F.round(F.col("f1") * 100, 2),
+        "exact_match_pct": F.bround(F.col("exact_match") * 100, 2),
+        "f1_pct": F.bround(F.col("f1") * 100, 2),
     })
 
 

@@ -462,7 +462,7 @@ def pref_drop_counts(spark, sf):
 
 
 LENGTHS_SQL = ", ".join(
-    f"round(avg({TOKENS_SQL.format(c)}), 1) AS {c}_avg, min({TOKENS_SQL.format(c)}) AS {c}_min, max({TOKENS_SQL.format(c)}) AS {c}_max"
+    f"round_even(avg({TOKENS_SQL.format(c)}), 1) AS {c}_avg, min({TOKENS_SQL.format(c)}) AS {c}_min, max({TOKENS_SQL.format(c)}) AS {c}_max"
     for c in ("prompt", "chosen", "rejected")
 )
 
@@ -532,7 +532,7 @@ def bag_intersect(spark, sf):
 
 @query(_with(_f1_sql("char_loose")) + f""", ems AS (SELECT qa_id, {EM_SQL} AS em FROM eval)
 SELECT turn, count(*) AS n_rows, round(avg(em), 6) AS exact_match, round(avg(f1), 6) AS f1,
-  round(avg(em) * 100, 2) AS exact_match_pct, round(avg(f1) * 100, 2) AS f1_pct
+  round_even(avg(em) * 100, 2) AS exact_match_pct, round_even(avg(f1) * 100, 2) AS f1_pct
 FROM scored JOIN ems USING (qa_id) GROUP BY turn""")
 def qa_scores(spark, sf):
     return _rounded(scoring.qa_scores(I.evaluation(spark, sf), "turn"), "exact_match", "f1")
@@ -572,7 +572,7 @@ DOC_LENGTHS = f"lengths AS (SELECT *, {TOKENS_SQL.format('text')} AS t FROM docu
 def _stats_sql(source: str, rows: str) -> str:
     return f"""SELECT lang, {rows} AS n_rows, count(*) AS n_tokenized, {rows} > count(*) AS is_estimate,
   CAST(sum(t) AS BIGINT) AS total_tokens_in_sample, CAST(floor(sum(t) / count(*) * {rows}) AS BIGINT) AS est_total_tokens,
-  round(avg(t), 1) AS avg, min(t) AS min, max(t) AS max, median(t) AS median FROM {source} GROUP BY lang"""
+  round_even(avg(t), 1) AS avg, min(t) AS min, max(t) AS max, median(t) AS median FROM {source} GROUP BY lang"""
 
 
 @query(_with(DOC_LENGTHS) + _stats_sql("lengths", "count(*)"))
@@ -611,7 +611,7 @@ def len_budget_report(spark, sf):
 
 
 @query(_with(RANKED_DOCS) + f""", lengths AS (SELECT lang, {SPLIT_SQL} AS split, {TOKENS_SQL.format('text')} AS t FROM ranked)
-SELECT lang, split, count(*) AS n_rows, CAST(sum(t) AS BIGINT) AS total_tokens, round(avg(t), 1) AS avg, min(t) AS min, max(t) AS max,
+SELECT lang, split, count(*) AS n_rows, CAST(sum(t) AS BIGINT) AS total_tokens, round_even(avg(t), 1) AS avg, min(t) AS min, max(t) AS max,
   median(t) AS median, CAST(4 AS INTEGER) AS n_columns FROM lengths GROUP BY ROLLUP (lang, split)""")
 def profile_rollup(spark, sf):
     docs = I.table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -757,7 +757,7 @@ def load_text_dataset(spark, sf):
   SELECT {SPLIT_SQL} AS split, {TOKENS_SQL.format("concat(text, '<|endoftext|>')")} AS t FROM ranked)
 SELECT 'text_data' AS dataset, split, 'doc_id,lang,n_chars,source,split,text' AS columns, count(*) AS n_rows, count(*) AS n_tokenized,
   false AS is_estimate, CAST(sum(t) AS BIGINT) AS total_tokens_in_sample, CAST(sum(t) AS BIGINT) AS est_total_tokens,
-  round(avg(t), 1) AS avg, min(t) AS min, max(t) AS max, median(t) AS median, true AS has_size FROM formatted GROUP BY split""")
+  round_even(avg(t), 1) AS avg, min(t) AS min, max(t) AS max, median(t) AS median, true AS has_size FROM formatted GROUP BY split""")
 def profile_stored(spark, sf):
     """Loads and stores the documents as a dataset, then profiles what is stored."""
     where = {"text_data": {"raw": f"{sf}/documents.parquet", "mapped": scratch_dir(spark, "mapped")}}

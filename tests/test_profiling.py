@@ -43,6 +43,11 @@ def test_empty_table_and_other_token_counts(spark):
         profiling.token_stats(df, "text", "id", cap=None, method="subword")
 
 
+def test_means_are_rounded_half_to_even(spark):
+    rows = profiling.token_stats(texts(spark, [12, 12, 12, 13, 12, 13, 13, 13], list("aaaabbbb")), "text", "id", ("g",), cap=None)
+    assert {r.g: r.avg for r in rows.collect()} == {"a": round(12.25, 1), "b": round(12.75, 1)} == {"a": 12.2, "b": 12.8}
+
+
 def test_profile_totals(spark):
     df = spark.createDataFrame([("d1", "train", "a b"), ("d1", "test", "a"), ("d2", "train", "a b c d")], "dataset string, split string, text string")
     got = {(r.dataset, r.split): (r.n_rows, r.total_tokens, r.median) for r in profiling.profile(df, "text").collect()}
