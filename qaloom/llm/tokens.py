@@ -73,33 +73,33 @@ def _lengths(path: str, shared, capacity: int) -> PreTokenLengths:
     return _WORKER[key]
 
 
-def frequent_lengths(docs: DataFrame, path: str, size: int, sample_docs: int, sample_bytes: int) -> dict[str, int]:
+def frequent_lengths(docs: DataFrame, path: str, size: int, sample_bytes: int) -> dict[str, int]:
     """Token counts of the ``size`` commonest pre-tokens of a bounded sample.
 
-    The sample only decides which pre-tokens sit in the shared table; every count is right for any table. It is
-    read by one task that stops after ``sample_bytes``, and the driver gets ``size`` rows at most.
+    The sample only decides which pre-tokens sit in the shared table; every count is right for any table. A task
+    lists the pre-tokens of the first ``sample_bytes`` of its split, and the driver takes ``size`` rows in all, which
+    runs one task, or a few more if the first splits are small.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, seen, read = PreTokenLengths(path, {}, 0), Counter(), 0
         for batch in batches:
             for body in batch.column(0):
-                if read >= sample_bytes:
-                    continue
-                text = body.as_py().decode()
-                read += len(text)
-                seen.update(lengths.pieces(text)[0])
+                if read < sample_bytes:
+                    text = body.as_py().decode()
+                    read += len(text)
+                    seen.update(lengths.pieces(text)[0])
         top = [p for p, _ in seen.most_common(size)]
         counts = [len(e) for e in lengths.tokenizer.encode_batch_fast(top, add_special_tokens=False)]
         yield pa.RecordBatch.from_pydict({"piece": pa.array(top, pa.string()), "n": pa.array(counts, pa.int32())})
 
-    sample = docs.select("body").limit(sample_docs).coalesce(1)
-    return {r.piece: r.n for r in sample.mapInArrow(count, "piece string, n int").toLocalIterator()}
+    rows = docs.select("body").mapInArrow(count, "piece string, n int").limit(size).collect()
+    return {r.piece: r.n for r in rows}
 
 
 def token_counts(
     docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 512,
-    table_size: int = 65_536, sample_docs: int = 4_000, sample_bytes: int = 16 << 20, cache_size: int = 300_000,
+    table_size: int = 65_536, sample_bytes: int = 16 << 20, cache_size: int = 300_000,
 ) -> DataFrame:
     """Tokens of every whole text: ``doc_id, n_bytes, n_tokens, over_limit``; one row per input row, no shuffle.
 
@@ -110,7 +110,7 @@ def token_counts(
     """
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col)
-    frequent = frequent_lengths(rows, path, table_size, sample_docs, sample_bytes)
+    frequent = frequent_lengths(rows, path, table_size, sample_bytes)
     shared = spark.sparkContext.broadcast((_pack(frequent), hash(tuple(frequent.items()))))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
