@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from qaloom.llm import packing, rules, sharding, simhash, tokens
+from qaloom.llm import decontaminate, importance, licenses, packing, rules, sharding, simhash, substrings, tokens, toxicity
 from qaloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op2_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -36,6 +41,19 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@query()
+def op4_quality(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    return importance.resample(
+        table(spark, sf_dir, "documents"), labels.where("quality = 1").select("doc_id"), share=importance.quality_share(labels)
+    )
+
+
+@query()
+def op5_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 _SLOT_SQL = f"(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT % {sharding.TABLE_SIZE})"
 _NAMES_SQL = "[" + ", ".join(f"'{s}'" for s in SHARDS) + "]"
 
@@ -68,6 +86,37 @@ def op7_quality_rules(spark, sf_dir):
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")))
 
 
+@query(f"""WITH w AS (SELECT doc_id, {_WORDS_SQL} AS words FROM documents),
+windows AS (SELECT doc_id, i, words[i:i + 19] AS win FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)),
+repeats AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS nth FROM windows) WHERE nth > 1),
+covered AS (SELECT DISTINCT doc_id, i + j AS pos FROM repeats, (SELECT unnest(range(20)) AS j)),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS pos FROM w),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS text FROM placed ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""")
+def op8_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_TEMPLATE_ROWS = ", ".join(
+    f"('{name}', {c['window']}, {c['stride']}, [{', '.join(repr(x) for x in licenses.template_shingles(licenses.TEMPLATES[name]))}])"
+    for c in licenses.size_classes(licenses.TEMPLATES) for name in c["names"]
+)
+
+
+@query(f"""WITH templates(license, width, stride, shingles) AS (VALUES {_TEMPLATE_ROWS}),
+words AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^a-z0-9]+'), lambda w: w <> '') AS w FROM documents),
+shingles AS (SELECT doc_id, len(w) - 4 AS n, i, array_to_string(w[i + 1:i + 5], ' ') AS s FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM words)),
+found AS (SELECT doc_id, n, i, s, license, width, stride, len(shingles) AS t FROM shingles JOIN (SELECT *, unnest(shingles) AS s FROM templates) USING (s)),
+windows AS (SELECT *, unnest(range(0, greatest(n - width + stride - 1, 0) + 1, stride)) AS pos FROM found),
+shares AS (SELECT doc_id, license, pos, count(DISTINCT s) / t AS containment FROM windows WHERE i >= pos AND i < pos + width GROUP BY doc_id, license, pos, t)
+SELECT doc_id, license, max(containment) AS containment, CAST(arg_max(pos, (containment, -pos)) AS BIGINT) AS first_word
+FROM shares WHERE containment >= 0.8 GROUP BY doc_id, license""")
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
