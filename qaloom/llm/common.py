@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def store(df: DataFrame, label: str) -> DataFrame:
     """Writes ``df`` to the shared scratch folder and reads it back: computed once, and no executor has to survive."""
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

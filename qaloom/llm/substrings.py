@@ -17,7 +17,7 @@ from qaloom.llm.hashing import WORD_BYTES, blocks, hashed_words, pair
 
 WINDOW = 20  # words
 GRAM = 6  # words of an anchor
-CROWDED = 512  # segments with one anchor from which each window goes its own way
+CROWDED = 10_000  # segments with one anchor from which each window goes its own way
 SHARD_WORDS = 200_000  # indexed at a time
 _LAST = (1 << 63) - 1  # order of rows without an id
 
@@ -370,7 +370,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     rows = _rows(docs, id_col, text_col, carry)
     cut = anchors(rows)
-    again = cut.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1")
+    # Stored, so that the join below has a plain shuffle on both sides, of which Spark can split a hot anchor.
+    again = store(cut.groupBy("anchor").agg(F.count("*").alias("uses")).where("uses > 1"), "anchors")
     spans = cut.join(again, "anchor").groupBy("ord", "tie").agg(
         F.collect_list(F.struct("anchor", "start", "n", (F.col("uses") > CROWDED).alias("crowded"))).alias("spans")
     )
