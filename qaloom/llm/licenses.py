@@ -86,16 +86,23 @@ def _band(shingles: Column, band: int) -> Column:
     return F.transform(shingles, lambda h: F.xxhash64(h, F.lit(band)))
 
 
+def _shingle_hash(word_hashes: Column, at: Column) -> Column:
+    return F.xxhash64(F.slice(word_hashes, at, SHINGLE))
+
+
 def _template_bands(spark: SparkSession, templates: dict[str, str], classes: list[dict]) -> DataFrame:
-    """``class, band, key, name, shingles``: the MinHash values of every template (a few rows per template)."""
+    """``class, band, key, least, name, shingles``: each template's MinHash values, and the shingles that have them."""
     rows = [(i, c["bands"], name, template_shingles(templates[name])) for i, c in enumerate(classes) for name in c["names"]]
     values = ", ".join(
         "(%d, %d, '%s', array(%s))" % (i, bands, name, ", ".join(f"'{s}'" for s in shingles)) for i, bands, name, shingles in rows
     )
     table = spark.sql(f"SELECT * FROM VALUES {values} AS t(class, bands, name, shingles)")
     table = table.select("class", "name", "shingles", F.explode(F.sequence(F.lit(0), F.col("bands") - 1)).alias("band"))
-    hashed = F.transform("shingles", lambda s: F.xxhash64(F.xxhash64(s), F.col("band")))
-    return table.select("class", "band", F.array_min(hashed).alias("key"), "name", "shingles")
+    one = lambda s: F.xxhash64(F.transform(F.split(s, " "), lambda w: F.xxhash64(w)))
+    hashed = F.transform("shingles", lambda s: F.struct(F.xxhash64(one(s), F.col("band")).alias("key"), one(s).alias("least")))
+    return table.select("class", "band", F.array_min(hashed).alias("m"), "name", "shingles").select(
+        "class", "band", "m.key", "m.least", "name", "shingles"
+    )
 
 
 def scan(
@@ -115,13 +122,22 @@ def scan(
         return spark.createDataFrame([], schema)
     bands = _template_bands(spark, templates, classes)
     keys: dict[tuple[int, int], list[int]] = {}
-    for row in bands.select("class", "band", "key").collect():  # one value per template and band
+    least: set[int] = set()
+    for row in bands.select("class", "band", "key", "least").collect():  # one row per template and band
         keys.setdefault((row["class"], row["band"]), []).append(row.key)
+        least.add(row["least"])
 
     rows = docs.select(docs[id_col].cast("bigint").alias("doc_id"), _text_words(docs[text_col]).alias("words"))
-    last = F.size("words") - SHINGLE + 1
-    shingles = F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: _shingle_hash(F.col("words"), i)))
+    rows = rows.select("doc_id", "words", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
+    # Each array below is used at least twice in the next projection, so Spark computes it once and does not move it
+    # into the function that runs per element.
+    last = F.size("h") - SHINGLE + 1
+    shingles = F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: _shingle_hash(F.col("h"), i)))
     rows = rows.select("doc_id", "words", shingles.alias("s"))
+    # A window has a template's MinHash value only if it holds the shingle with that value. Texts without any such
+    # shingle (null from here on) have no window to hash.
+    holds = F.arrays_overlap("s", F.array(*[F.lit(v) for v in sorted(least)]))
+    rows = rows.select("doc_id", "words", F.when(holds, F.col("s")).alias("s"))
     most = max(c["bands"] for c in classes)
     rows = rows.select("doc_id", "words", *[_band(F.col("s"), b).alias(f"b{b}") for b in range(most)])
     hits = [_class_hits(i, c, keys) for i, c in enumerate(classes)]
@@ -130,7 +146,7 @@ def scan(
     rows = rows.select("doc_id", "words", F.concat(*hits).alias("hits"), F.spark_partition_id().alias("part"))
     rows = rows.where((F.size("hits") > 0) & (F.col("part") >= 0))
     found = rows.select("doc_id", "words", F.explode(F.array_distinct("hits")).alias("hit")).select("doc_id", "words", "hit.*")
-    found = found.join(F.broadcast(bands), ["class", "band", "key"]).select("doc_id", "words", "class", "at", "name", "shingles")
+    found = found.join(F.broadcast(bands.drop("least")), ["class", "band", "key"]).select("doc_id", "words", "class", "at", "name", "shingles")
     window = F.element_at(F.array(*[F.lit(c["window"]) for c in classes]), F.col("class") + 1)
     inside = F.transform(
         F.sequence(F.col("at"), F.least(F.col("at") + window - 1, F.size("words") - SHINGLE + 1)),
@@ -144,10 +160,6 @@ def scan(
     )
 
 
-def _shingle_hash(words: Column, at: Column) -> Column:
-    return F.xxhash64(F.array_join(F.slice(words, at, SHINGLE), " "))
-
-
 def _band_hits(index: int, c: dict, band: int, keys: list[int]) -> Column:
     """Windows of one class (first shingle, from 1) whose MinHash value in one band is a template's."""
     values = F.col(f"b{band}")
