@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.llm.common import id_text
@@ -258,18 +258,23 @@ def matches(
     )
 
 
+def _clean(spark: SparkSession, text: Column, prepared: tuple, share: float) -> Column:
+    """Whether no item of one block is in a text."""
+    shared = spark.sparkContext.broadcast(prepared)
+
+    @F.pandas_udf("boolean")
+    def clean(bodies: pd.Series) -> pd.Series:
+        hit = {t for t, *_ in _search_batch([b or b"" for b in bodies], shared.value, share)}
+        return pd.Series([i not in hit for i in range(len(bodies))], dtype="bool")
+
+    return clean(text.cast("binary"))
+
+
 def without_matches(
     docs: DataFrame, benchmark: DataFrame, share: float = 0.1, *, block_size: int = 20_000, recall: float = RECALL,
     text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, in whose text no item is found; one filter per block of items."""
     for prepared in _prepared(benchmark, share, recall, block_size, item_col, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(prepared)
-
-        @F.pandas_udf("boolean")
-        def clean(bodies: pd.Series, shared=shared) -> pd.Series:
-            hit = {t for t, *_ in _search_batch([b or b"" for b in bodies], shared.value, share)}
-            return pd.Series([i not in hit for i in range(len(bodies))], dtype="bool")
-
-        docs = docs.where(clean(docs[text_col].cast("binary")))
+        docs = docs.where(_clean(docs.sparkSession, docs[text_col], prepared, share))
     return docs
