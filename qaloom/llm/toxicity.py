@@ -100,7 +100,7 @@ def _fit(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, width: int, r
 
 def _select(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
     """Buckets whose presence tells most about some category (largest standardised difference of frequencies)."""
-    flat, owner = np.concatenate([np.zeros(0, np.int64), *rows]), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    flat, owner = np.concatenate([np.zeros(0, np.int32), *rows]), np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
     total, score = np.bincount(flat, minlength=BUCKETS), np.zeros(BUCKETS)
     for y in labels.T:
         share = y.mean()
@@ -171,7 +171,7 @@ def train(
     schema = "doc_id bigint, buckets array<int>, " + ", ".join(f"y{i} int" for i in range(len(categories)))
     got = rows.mapInArrow(buckets, schema).toArrow().combine_chunks().sort_by("doc_id")
     sets = got.column("buckets").combine_chunks()
-    flat, ends = sets.flatten().to_numpy().astype(np.int64), np.cumsum([len(s) for s in sets])
+    flat, ends = sets.flatten().to_numpy(), np.cumsum([len(s) for s in sets])
     y = np.column_stack([got.column(f"y{i}").to_numpy() for i in range(len(categories))])
     return fit_chain(np.split(flat, ends[:-1]) if len(ends) else [], y, list(categories))
 
