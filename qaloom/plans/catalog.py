@@ -818,7 +818,7 @@ def stream_dedupe_enrich(spark, sf):
 
 
 @query(_with(I.RUNLOG_SQL) + """SELECT stage, arg_min(step, (value, step)) FILTER (WHERE metric = 'eval_loss') AS best_step,
-  min(value) FILTER (WHERE metric = 'eval_loss') AS best_eval_loss, max(step) AS latest_step FROM runlog GROUP BY stage""")
+  min(value) FILTER (WHERE metric = 'eval_loss') AS best_eval_loss, max(step) AS latest_step FROM series GROUP BY stage""")
 def stream_runlog(spark, sf):
     base = scratch_dir(spark, "stream-runlog")
     runs = I.runlog(spark, sf)

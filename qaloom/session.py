@@ -33,9 +33,12 @@ def build_session(app: str = "qaloom", master: str | None = None, shuffle_partit
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path under the cluster's shared checkpoint folder.
 
-    Only where ``spark.checkpoint.dir`` is unset (tests, one machine) is a temporary folder used.
+    Only where ``spark.checkpoint.dir`` is unset and all tasks run in the driver's process is a temporary folder used.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="qaloom-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

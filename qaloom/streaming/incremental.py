@@ -23,10 +23,11 @@ WRITTEN = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("block", T.LongType()), T.StructField("line", T.LongType()),
 ])
 UPSERTS = T.StructType([*schemas.CACHE.fields, T.StructField("written", WRITTEN), BATCH])
-STAGE_STATE = T.StructType([
+STEP_STATE = T.StructType([
     T.StructField("stage", T.StringType()),
-    T.StructField("best", T.StructType([T.StructField("value", T.DoubleType()), T.StructField("step", T.LongType())])),
-    T.StructField("latest_step", T.LongType()),
+    T.StructField("step", T.LongType()),
+    T.StructField("metric", T.StringType()),
+    T.StructField("last", T.StructType([T.StructField("session", T.LongType()), T.StructField("value", T.DoubleType())])),
     BATCH,
 ])
 
@@ -104,16 +105,18 @@ def stream_runlog(spark: SparkSession, src: str, schema: T.StructType, out: str,
                   metric: str = "eval_loss") -> DataFrame:
     """Best and latest step per stage, kept current as metric rows arrive.
 
-    A batch leaves one row per stage; the fold over batches is what is returned.
+    A run may start again and log a step once more; the last session counts. A batch leaves one row per stage, step
+    and metric with the last session seen; the fold over batches takes the last session of all before it takes the best.
     """
     arrivals = spark.readStream.schema(schema).parquet(src)
-    best: Column = F.min(F.when(F.col("metric") == metric, F.struct("value", "step"))).alias("best")
+    last = F.max(F.struct(F.col("session").cast("bigint").alias("session"), "value")).alias("last")
 
     def summarise(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch.groupBy("stage").agg(best, F.max("step").alias("latest_step")), out, batch_id)
+        _write_batch(batch.groupBy("stage", F.col("step").cast("bigint").alias("step"), "metric").agg(last), out, batch_id)
 
     _run(arrivals, summarise, checkpoint)
-    states = _read_batches(spark, out, STAGE_STATE)
-    folded = states.groupBy("stage").agg(F.min("best").alias("best"), F.max("latest_step").alias("latest_step"))
+    series = _read_batches(spark, out, STEP_STATE).groupBy("stage", "step", "metric").agg(F.max("last")["value"].alias("value"))
+    best = F.min(F.when(F.col("metric") == metric, F.struct("value", "step"))).alias("best")
+    folded = series.groupBy("stage").agg(best, F.max("step").alias("latest_step"))
     return folded.select("stage", F.col("best.step").alias("best_step"), F.col("best.value").alias(f"best_{metric}"),
                          "latest_step")

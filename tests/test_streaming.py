@@ -44,7 +44,8 @@ def test_run_state_equals_the_batch_result(spark, tmp_path):
     src, out, checkpoint = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
     schema = "stage string, session long, step long, metric string, value double"
     parts = [[("s", 1, 10, "eval_loss", 0.5), ("s", 1, 20, "eval_loss", 0.4), ("t", 1, 5, "loss", 1.0)],
-             [("s", 1, 30, "eval_loss", 0.4), ("s", 1, 40, "loss", 9.0), ("t", 1, 6, "eval_loss", 2.0)]]
+             [("s", 1, 30, "eval_loss", 0.4), ("s", 1, 40, "loss", 9.0), ("t", 1, 6, "eval_loss", 2.0)],
+             [("s", 2, 20, "eval_loss", 0.9)]]  # a restart supersedes a best step of an earlier batch
     for part in parts:
         df = spark.createDataFrame(part, schema)
         df.write.mode("append").parquet(src)
