@@ -35,7 +35,7 @@ turns AS (
          lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next_text
   FROM conversations),
 qa AS (
-  SELECT conv_id * 100 + turn AS qa_id, conv_id, turn, text AS question, next_text AS answer
+  SELECT concat(conv_id, '-', turn) AS qa_id, conv_id, turn, text AS question, next_text AS answer
   FROM turns WHERE role = 'user' AND next_role = 'assistant')"""
 
 
@@ -48,17 +48,17 @@ def qa(spark: SparkSession, sf: str) -> DataFrame:
 PREF_SQL = QA_SQL + """,
 pref AS (
   SELECT qa_id, question AS prompt, answer AS chosen,
-         CASE WHEN qa_id % 17 = 0 THEN answer WHEN turn % 4 = 0 THEN question
+         CASE WHEN (conv_id * 100 + turn) % 17 = 0 THEN answer WHEN turn % 4 = 0 THEN question
               ELSE concat(question, ' ', replace(answer, 'e', 'a')) END AS rejected,
          (conv_id * 13 + turn * 7) % n_vec AS chosen_vec_id,
-         CASE WHEN qa_id % 17 = 0 THEN (conv_id * 13 + turn * 7) % n_vec
+         CASE WHEN (conv_id * 100 + turn) % 17 = 0 THEN (conv_id * 13 + turn * 7) % n_vec
               ELSE (conv_id * 29 + turn * 11 + 1) % n_vec END AS rejected_vec_id
   FROM (SELECT *, (SELECT count(*) FROM embeddings) AS n_vec FROM qa) x)"""
 
 
 def pref(spark: SparkSession, sf: str) -> DataFrame:
     n_vec = table(spark, sf, "embeddings").agg(F.count("*").alias("n")).scalar()
-    copy = F.col("qa_id") % 17 == 0
+    copy = (F.col("conv_id") * 100 + F.col("turn")) % 17 == 0
     own = (F.col("conv_id") * 13 + F.col("turn") * 7) % n_vec
     other = (F.col("conv_id") * 29 + F.col("turn") * 11 + 1) % n_vec
     edited = F.concat("question", F.lit(" "), F.replace("answer", F.lit("e"), F.lit("a")))
@@ -83,15 +83,15 @@ def pref_with_vectors(spark: SparkSession, sf: str) -> DataFrame:
 EVAL_SQL = QA_SQL + """,
 eval AS (
   SELECT qa_id, turn, answer AS reference,
-         CASE WHEN qa_id % 3 = 0 THEN concat(' ', answer, ' ')
-              WHEN qa_id % 3 = 1 THEN concat('! ', replace(answer, 'e', 'E'), ' !')
+         CASE WHEN (conv_id * 100 + turn) % 3 = 0 THEN concat(' ', answer, ' ')
+              WHEN (conv_id * 100 + turn) % 3 = 1 THEN concat('! ', replace(answer, 'e', 'E'), ' !')
               ELSE question END AS prediction
   FROM qa)"""
 
 
 def evaluation(spark: SparkSession, sf: str) -> DataFrame:
     edited = F.concat(F.lit("! "), F.replace("answer", F.lit("e"), F.lit("E")), F.lit(" !"))
-    kind = F.col("qa_id") % 3
+    kind = (F.col("conv_id") * 100 + F.col("turn")) % 3
     prediction = (
         F.when(kind == 0, F.concat(F.lit(" "), "answer", F.lit(" "))).when(kind == 1, edited).otherwise(F.col("question"))
     )
@@ -113,7 +113,7 @@ model_out AS (
 
 def model_out(spark: SparkSession, sf: str) -> DataFrame:
     call = F.concat(
-        F.lit('x <tool_call>{"name": "web_search", "arguments": {"query": "q'), F.col("qa_id").cast("string"),
+        F.lit('x <tool_call>{"name": "web_search", "arguments": {"query": "q'), F.col("qa_id"),
         F.lit('"}}</tool_call><|im_end|> '), "answer",
     )
     plain = F.concat(F.lit(" "), "answer", F.lit(" <|im_end|>"), "question")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from qaloom.operators import prefs
 from qaloom.operators.batches import map_batches
 from qaloom.operators.dialogs import pairs_from_dialog
+from qaloom.operators.joins import zip_by_id
+from qaloom.operators.splits import split_counts, split_exact
 from qaloom.plans import jobs
 
 
@@ -75,4 +77,13 @@ def test_batches_never_exceed_their_size(spark):
 def test_pairs_need_an_assistant_turn_right_after(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "u1"), (1, 2, "user", "u2"), (1, 3, "assistant", "a2"), (2, 0, "user", "u3")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
-    assert [tuple(r) for r in pairs_from_dialog(df).collect()] == [(102, 1, 2, "u2", "a2")]
+    assert [tuple(r) for r in pairs_from_dialog(df).collect()] == [("1-2", 1, 2, "u2", "a2")]
+
+
+def test_long_conversations_keep_ids_and_split_sizes(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{c}.{t}") for c, n in ((1, 204), (2, 4)) for t in range(n)]
+    pairs = pairs_from_dialog(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert (pairs.count(), pairs.select("qa_id").distinct().count()) == (104, 104)
+    assert zip_by_id("qa_id", pairs.select("qa_id", "question"), pairs.select("qa_id", "answer")).count() == 104
+    sizes = {r.split: r.n_rows for r in split_counts(split_exact(pairs, "qa_id", 20, 5)).collect()}
+    assert sizes == {"train": 84, "validation": 5, "test": 15}
