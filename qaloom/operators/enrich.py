@@ -2,8 +2,8 @@
 
 Per question in seeded order: blank rows are passed over, a repeated question is skipped, a question
 without a usable response is skipped, and the job ends once ``limit`` rows are kept. Since dedupe
-precedes the lookup, everything that decides a row's fate is narrow (ids, digests and flags); texts
-and responses are fetched only for the rows that are kept.
+precedes the lookup, everything that decides a row's fate is narrow (ids, digests and flags). It is
+computed once into a stored table, from which rows, counters and work list are taken.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from qaloom.operators.joins import lookup
 from qaloom.operators.order import at_or_before, position
 from qaloom.operators.splits import oversample_limit
 from qaloom.schemas import require_columns
+from qaloom.session import scratch_dir
 
 COUNTERS = ("kept", "cache_hits", "api_calls", "skipped_empty", "skipped_dupe")
 
@@ -100,12 +101,13 @@ class Enrichment:
 
     questions: id, question, answer; cache: one row per query with its response. ``require_answer``
     is the ground-truth mode; without it a missing answer is derived from the response. ``oversample``
-    bounds the candidates to limit * oversample rows.
+    bounds the candidates to limit * oversample rows. The narrow status table goes to ``scratch``, by
+    default the shared scratch folder.
     """
 
     def __init__(self, questions: DataFrame, cache: DataFrame, id_col: str = "id", limit: int | None = None,
                  oversample: int = 1, seed: int = 42, require_answer: bool = True, k: int = 3, chars: int = 600,
-                 answer_chars: int = 400, tools_json: str = TOOLS_JSON):
+                 answer_chars: int = 400, tools_json: str = TOOLS_JSON, scratch: str | None = None):
         require_columns(questions, id_col, "question", "answer")
         require_columns(cache, "query", "response")
         self.id_col, self.limit, self.seed = id_col, limit, seed
@@ -115,21 +117,18 @@ class Enrichment:
             utrim(F.coalesce("question", F.lit(""))).alias("question"),
             utrim(F.coalesce("answer", F.lit(""))).alias("answer"),
         )
-        self.cache = cache
+        self.cache, self.scratch, self._status = cache, scratch, None
         candidates = oversample_limit(trimmed, id_col, limit, oversample, seed)
         self.candidates = candidates.transform(flt_blank_question).transform(flt_blank_answer, require_answer)
 
-    def _firsts(self) -> DataFrame:
-        """id, key and has_answer of the first candidate with each question (no texts)."""
+    def decide(self) -> DataFrame:
+        """id, question key, cache hit and status (kept | empty) of every first-seen candidate; no texts."""
         narrow = self.candidates.select(
             F.col(self.id_col),
             _digest(F.col("question")).alias("key"),
             (F.col("answer") != "").alias("has_answer"),
         )
-        return first_seen(narrow, "key", position(self.id_col, self.seed))
-
-    def status(self) -> DataFrame:
-        """id, cache hit and status (kept | empty) of every first-seen candidate."""
+        firsts = first_seen(narrow, "key", position(self.id_col, self.seed))
         responses = self.cache.select(
             _digest(F.col("query")).alias("key"),
             has_results(F.col("response")).alias("has_results"),
@@ -138,30 +137,34 @@ class Enrichment:
         )
         flags = {c: F.coalesce(c, F.lit(False)) for c in ("has_results", "derivable", "cached")}
         return (
-            self._firsts().join(responses, "key", "left")
+            firsts.join(responses, "key", "left")
             .withColumns(flags)
-            .select(self.id_col, "cached", F.when(_usable(), "kept").otherwise("empty").alias("status"))
+            .select(self.id_col, "key", "cached", F.when(_usable(), "kept").otherwise("empty").alias("status"))
         )
 
+    def status(self) -> DataFrame:
+        """The decisions as a table that is written at first use and read by all others."""
+        if self._status is None:
+            decided = self.decide()
+            path = self.scratch or scratch_dir(decided.sparkSession, "status")
+            decided.write.mode("overwrite").parquet(path)
+            self._status = decided.sparkSession.read.schema(decided.schema).parquet(path)
+        return self._status
+
     def _derivable(self) -> Column:
         return (derived_answer(F.col("response"), self.answer_chars) != "").alias("derivable")
 
-    def _visited(self, status: DataFrame) -> Column:
+    def _visited(self) -> Column:
         """Rows the job reaches: not after the ``limit``-th kept row."""
         if self.limit is None:
             return F.lit(True)
-        return at_or_before(status, self.id_col, self.limit, self.seed, where=F.col("status") == "kept")
+        return at_or_before(self.status(), self.id_col, self.limit, self.seed, where=F.col("status") == "kept")
 
     def rows(self) -> DataFrame:
         """The kept tool-use rows, with their id."""
-        firsts = self._firsts()
-        if self.limit is not None:
-            firsts = firsts.where(self._visited(self.status()))
-        responses = self.cache.select(
-            _digest(F.col("query")).alias("key"), "response", has_results(F.col("response")).alias("has_results"), self._derivable()
-        )
-        kept = firsts.join(responses, "key").where(_usable()).select(self.id_col, "response")
-        joined = self.candidates.join(kept, self.id_col)
+        ids = self.status().where((F.col("status") == "kept") & self._visited()).select(self.id_col, "key")
+        responses = self.cache.select(_digest(F.col("query")).alias("key"), "response")
+        joined = self.candidates.join(ids.join(responses, "key").drop("key"), self.id_col)
         answer = value_or(F.col("answer"), derived_answer(F.col("response"), self.answer_chars))
         return joined.select(
             self.id_col,
@@ -174,21 +177,20 @@ class Enrichment:
 
     def counters(self) -> DataFrame:
         """One row: kept, cache_hits, api_calls, skipped_empty, skipped_dupe over the visited rows."""
-        status = self.status()
-        visited = status.where(self._visited(status))
-        firsts = visited.agg(
+        firsts = self.status().where(self._visited()).agg(
             F.count_if(F.col("status") == "kept").alias("kept"),
             F.count_if("cached").alias("cache_hits"),
             F.count_if(~F.col("cached")).alias("api_calls"),
             F.count_if(F.col("status") == "empty").alias("skipped_empty"),
             F.count("*").alias("n_first"),
         )
-        reached = self.candidates.select(self.id_col).where(self._visited(status)).agg(F.count("*").alias("n")).scalar()
+        reached = self.candidates.select(self.id_col).where(self._visited()).agg(F.count("*").alias("n")).scalar()
         return firsts.withColumn("skipped_dupe", reached - F.col("n_first")).select(*COUNTERS)
 
     def missing(self) -> DataFrame:
-        """Work list: distinct candidate questions that have no cached response yet."""
-        return missing_queries(self.candidates, self.cache)
+        """Work list: the visited questions that have no cached response yet, as many as ``api_calls`` counts."""
+        ids = self.status().where(~F.col("cached") & self._visited()).select(self.id_col)
+        return self.candidates.join(ids, self.id_col, "left_semi").select("question")
 
 
 def enrich(questions: DataFrame, cache: DataFrame, **options) -> tuple[DataFrame, DataFrame]:

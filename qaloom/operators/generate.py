@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qaloom.operators.dedupe import first_seen
+from qaloom.operators.order import global_rank
 from qaloom.operators.splits import shuffle_limit
 from qaloom.schemas import require_columns
 
@@ -54,9 +55,10 @@ def unique_questions(grid: DataFrame) -> DataFrame:
     return first_seen(grid, "question", generation_order())
 
 
-def sample_questions(grid: DataFrame, limit: int, seed: int = 42) -> DataFrame:
-    """Distinct questions in seeded order, cut at ``limit``; the question itself is the id."""
-    return shuffle_limit(grid.select("question").distinct(), "question", limit, seed)
+def sample_questions(grid: DataFrame, limit: int | None, seed: int = 42) -> DataFrame:
+    """Distinct questions with their rank in seeded order, cut at ``limit`` if given; the question itself is the id."""
+    distinct = grid.select("question").distinct()
+    return global_rank(distinct, "question", seed) if limit is None else shuffle_limit(distinct, "question", limit, seed)
 
 
 def category_counts(items: DataFrame, templates: dict[str, list[str]]) -> DataFrame:

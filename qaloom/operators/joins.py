@@ -50,12 +50,30 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, id_
     return salted_left.join(salted_right, ["_key", "_salt"], how).drop("_key", "_salt")
 
 
-def zip_by_id(id_col: str, first: DataFrame, *others: DataFrame) -> DataFrame:
-    """Tables that describe the same rows side by side (inner join on the explicit row id)."""
+def zip_by_id(id_col: str, first: DataFrame, *others: DataFrame, complete: bool = True) -> DataFrame:
+    """Tables that describe the same rows side by side, joined on the explicit row id.
+
+    Other numbers of rows or other ids are an error when the result is computed; with ``complete=False`` only
+    the common ids are returned (``unmatched`` lists the rest). The check compares row count and a sum of id
+    hashes, which reads the id columns only.
+    """
     joined = first
     for other in others:
         joined = joined.join(other, id_col)
-    return joined
+    if not complete or not others:
+        return joined
+    marks = [_id_mark(df, id_col) for df in (first, *others)]
+    same = F.lit(True)
+    for mark in marks[1:]:
+        same = same & (mark == marks[0])
+    numbers = F.concat_ws(", ", *[m.cast("string") for m in marks])
+    problem = F.raise_error(F.concat(F.lit(f"tables differ in {id_col} (rows, digest): "), numbers)).cast("boolean")
+    return joined.where(F.when(same, True).otherwise(problem))
+
+
+def _id_mark(df: DataFrame, id_col: str) -> Column:
+    digest = F.coalesce(F.sum(F.xxhash64(F.col(id_col).cast("string")).cast("decimal(38,0)")), F.lit(0))
+    return df.agg(F.concat_ws("/", F.count("*"), digest).alias("mark")).scalar()
 
 
 def unmatched(id_col: str, left: DataFrame, right: DataFrame) -> DataFrame:

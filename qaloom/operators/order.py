@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 HEX_DIGITS = 4
 MAX_BUCKETS = 16**HEX_DIGITS  # upper bound of every per-bucket table, for any input size
-MAX_BROADCAST_GROUPS = 100_000  # per-group cut positions are broadcast up to this many groups
 
 
 def seeded_key(id_col: str | Column, seed: int = 42) -> Column:
@@ -97,13 +96,10 @@ def keep_first(df: DataFrame, id_col: str, n: int, seed: int = 42, by: tuple[str
     rows = _keyed(df, id_col, seed, keys)
     totals = _bucket_totals(rows, keys)
     cuts = _group_cuts(rows, totals, keys, n)
-    if cuts.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS:
-        # one row per group, size checked: the table itself is filtered where it lies
-        limited = _null_safe_join(df, F.broadcast(cuts), keys)
-    else:
-        # joined on (group, bucket), so one group with most of the rows still spreads over all buckets
-        limits = _null_safe_join(totals.where(F.col("_before") < n).select(*keys, "_b"), cuts, keys)
-        limited = _null_safe_join(df.withColumn("_b", _bucket(seeded_key(id_col, seed))), limits, [*keys, "_b"])
+    # joined on (group, bucket), so one group with most of the rows still spreads over all buckets; where the
+    # limits turn out small, adaptive execution broadcasts them
+    limits = _null_safe_join(totals.where(F.col("_before") < n).select(*keys, "_b"), cuts, keys)
+    limited = _null_safe_join(df.withColumn("_b", _bucket(seeded_key(id_col, seed))), limits, [*keys, "_b"])
     return limited.where(F.col("_last").isNull() | (position(id_col, seed) <= F.col("_last"))).select(*df.columns)
 
 

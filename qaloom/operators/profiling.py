@@ -28,9 +28,9 @@ def _stats(weight: str = "n") -> list[Column]:
     ]
 
 
-def token_stats(df: DataFrame, col: str, id_col: str, by: tuple[str, ...] = (), cap: int | None = 4000,
+def token_stats(df: DataFrame, col: str, id_col: str, by: tuple[str, ...] = (), cap: int | None = None,
                 seed: int = 42, method: str = "whitespace", tokens: Column | None = None) -> DataFrame:
-    """Token statistics per group, over at most ``cap`` sampled rows of each (None = all rows).
+    """Token statistics per group over all rows, or with ``cap`` over that many sampled rows of each at most.
 
     ``tokens`` may be any integer column expression, e.g. a vectorised tokenizer UDF, instead of
     ``method``. ``is_estimate`` marks groups that were sampled.

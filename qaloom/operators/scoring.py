@@ -14,7 +14,7 @@ IGNORED_LABEL = -100  # fixed value: label of masked tokens
 
 
 def join_eval(predictions: DataFrame, references: DataFrame, id_col: str) -> DataFrame:
-    """Predictions beside references; ``joins.unmatched`` reports the rest."""
+    """Predictions beside references, which must be of the same rows; ``joins.unmatched`` lists differences."""
     return zip_by_id(id_col, predictions, references)
 
 

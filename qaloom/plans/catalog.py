@@ -97,7 +97,7 @@ def prompt_round2(spark, sf):
     result = F.struct(F.lit(None).cast("string").alias("title"), F.lit("").alias("url"), F.col("answer").alias("content"))
     response = F.struct(F.lit("").alias("answer"), F.array(result).alias("results"))
     responses = I.qa(spark, sf).select("qa_id", enrich.tool_response_json(response).alias("tool_response_json"))
-    return formats.prompt_round2(joins.zip_by_id("qa_id", first, responses)).select("qa_id", "prompt")
+    return formats.prompt_round2(first.join(responses, "qa_id")).select("qa_id", "prompt")
 
 
 @query(_with(I.QA_SQL) + f"SELECT qa_id, {USER_SQL.format('question')} AS prompt, trim(answer, {WS_SQL}) AS answer FROM qa")

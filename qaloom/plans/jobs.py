@@ -12,34 +12,45 @@ from qaloom.operators.enrich import Enrichment
 from qaloom.operators.formats import apply_format
 from qaloom.operators.generate import sample_questions
 from qaloom.operators.splits import split_table
-from qaloom.sources.readers import read_cache, read_questions, read_splits, resolve
+from qaloom.sources.readers import has_splits, read_cache, read_questions, read_splits, resolve, source_version
 from qaloom.sources.writers import (
-    stage_resume, write_audit_json, write_csv, write_jsonl, write_splits, write_table,
+    recorded_version, stage_resume, write_audit_json, write_csv, write_jsonl, write_splits, write_table,
 )
 
 
 def load_dataset(spark: SparkSession, name: str, locations: dict[str, dict[str, str]],
                  sizes: dict[str, dict[str, int | None]], id_col: str, only_test: bool = False):
-    """Resolve, split, format and materialise a dataset once; later calls read the stored splits.
+    """Resolve, split, format and materialise a dataset; later calls read the stored splits.
 
-    Returns (train, validation), or the test table.
+    They are built again once the source's files or the wanted sizes are others than those they were made
+    from. Where only stored splits exist they are read as they are. Returns (train, validation), or the
+    test table.
     """
-    df, origin = resolve(spark, name, locations)
-    if origin != "mapped":
-        size = sizes.get(name, {})
-        split = split_table(df, id_col, size.get("test"), size.get("validation"))
-        df = read_splits(spark, write_splits(apply_format(split, name), locations[name]["mapped"]))
+    places, size = locations[name], sizes.get(name, {})
+    sources = {k: v for k, v in places.items() if k != "mapped"}
+    try:
+        source, origin = resolve(spark, name, {name: sources})
+    except FileNotFoundError:
+        source, _ = resolve(spark, name, locations)
+        df = source
+    else:
+        made_from = [source_version(spark, sources[origin]), size.get("test"), size.get("validation"), id_col]
+        version = "/".join(map(str, made_from))
+        if not has_splits(spark, places["mapped"]) or recorded_version(spark, places["mapped"]) != version:
+            split = split_table(source, id_col, size.get("test"), size.get("validation"))
+            write_splits(apply_format(split, name), places["mapped"], version)
+        df = read_splits(spark, places["mapped"])
     parts = {s: df.where(F.col("split") == s).drop("split") for s in ("train", "validation", "test")}
     return parts["test"] if only_test else (parts["train"], parts["validation"])
 
 
-def build_questions(grid: DataFrame, path: str, limit: int = 1000, seed: int = 42) -> str:
-    """Writes the deduplicated, seeded question sample as JSON lines."""
+def build_questions(grid: DataFrame, path: str, limit: int | None = None, seed: int = 42) -> str:
+    """Writes the deduplicated questions, or a seeded sample of ``limit``, as JSON lines."""
     return write_jsonl(sample_questions(grid, limit, seed).select("question"), path)
 
 
 def build_search_dataset(spark: SparkSession, cache_path: str, out: str, questions: DataFrame | None = None,
-                         questions_path: str | None = None, limit: int | None = 1000, **options) -> DataFrame:
+                         questions_path: str | None = None, limit: int | None = None, **options) -> DataFrame:
     """Writes the tool-use rows to ``out``, the questions still to be searched beside it as JSON lines,
     and returns the counters.
 
@@ -84,7 +95,7 @@ def build_preference_dataset(pairs: DataFrame, out: str, threshold: float = pref
 
 
 def profile_datasets(spark: SparkSession, paths: dict[str, str], id_col: str, text: str = "text",
-                     cap: int | None = 4000) -> DataFrame:
+                     cap: int | None = None) -> DataFrame:
     """Per stored dataset and split: path, rows, columns, files, size and token statistics."""
     report = None
     for name, path in paths.items():

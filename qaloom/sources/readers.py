@@ -39,7 +39,20 @@ def read_splits(spark: SparkSession, path: str) -> DataFrame:
 
 
 def has_splits(spark: SparkSession, path: str) -> bool:
-    return all(path_exists(spark, f"{path}/split={s}") for s in SPLITS)
+    """Whether a finished write left all three splits there."""
+    return all(path_exists(spark, f"{path}/{part}") for part in ("_SUCCESS", *[f"split={s}" for s in SPLITS]))
+
+
+def source_version(spark: SparkSession, place: str) -> str:
+    """Changes whenever the source does: a digest of names, sizes and times of its files (their contents are
+    not read), or of the rows of a catalog table."""
+    if "/" in place:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place)
+        rows = files.select("path", "length", "modificationTime")
+    else:
+        rows = spark.table(place)
+    digest = F.coalesce(F.sum(F.xxhash64(*rows.columns).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    return rows.agg(F.concat_ws("-", F.count("*"), digest).alias("version")).first()["version"]
 
 
 def resolve(spark: SparkSession, name: str, locations: dict[str, dict[str, str]]) -> tuple[DataFrame, str]:

@@ -15,16 +15,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def write_splits(df: DataFrame, path: str, in_place: tuple[str, ...] = ("train",)) -> str:
-    """One folder per split.
+def write_splits(df: DataFrame, path: str, version: str | None = None) -> str:
+    """One folder per split, in one job, with the ``version`` of the input beside them.
 
-    The rows of small splits lie scattered over all tasks and are gathered into files of useful size;
-    the large split(s) are written by the tasks that hold the rows, without a shuffle. The large ones
-    come last: readers take the folder for complete only when every split is there.
+    Rows are gathered by split into files of useful size; adaptive execution divides the large splits. The
+    version is written last, so an unfinished write is never taken for this version.
     """
-    large = F.col("split").isin(*in_place)
-    df.where(~large).hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(path)
-    df.where(large).write.mode("append").partitionBy("split").parquet(path)
+    df.hint("rebalance", "split").write.mode("overwrite").partitionBy("split").parquet(path)
+    if version is not None:
+        _record_version(df.sparkSession, path, version)
     return path
 
 
@@ -63,7 +62,14 @@ def publish_snapshot(df: DataFrame, path: str, version: str) -> DataFrame:
     return manifest
 
 
-def _recorded_version(spark: SparkSession, path: str) -> str | None:
+def _record_version(spark: SparkSession, path: str, version: str) -> None:
+    # names with a leading underscore are not data to Parquet readers
+    marker = spark.range(1).select(F.lit(version).alias("value")).coalesce(1)
+    marker.write.mode("overwrite").text(f"{path}/{VERSION_FILE}")
+
+
+def recorded_version(spark: SparkSession, path: str) -> str | None:
+    """Input version of a finished stored table, or None."""
     marker = f"{path}/{VERSION_FILE}"
     if not (path_exists(spark, f"{path}/_SUCCESS") and path_exists(spark, marker)):
         return None
@@ -73,10 +79,8 @@ def _recorded_version(spark: SparkSession, path: str) -> str | None:
 def stage_resume(spark: SparkSession, path: str, input_version: str, build) -> tuple[DataFrame, bool]:
     """(stage table, reused). The stored table is reused only if it is complete and was built from
     the same input version; otherwise ``build()`` is run and stored."""
-    if _recorded_version(spark, path) == input_version:
+    if recorded_version(spark, path) == input_version:
         return spark.read.parquet(path), True
     build().write.mode("overwrite").parquet(path)
-    # names with a leading underscore are not data to Parquet readers
-    marker = spark.range(1).select(F.lit(input_version).alias("value")).coalesce(1)
-    marker.write.mode("overwrite").text(f"{path}/{VERSION_FILE}")
+    _record_version(spark, path, input_version)
     return spark.read.parquet(path), False

@@ -69,6 +69,15 @@ def test_rows_and_counters(spark, limit, require_answer):
     assert {r.id: (r.question, r.answer) for r in got.collect()} == kept
 
 
+@pytest.mark.parametrize("limit", [0, 3, None])
+def test_work_list_is_what_the_counters_count(spark, limit):
+    rows, cache = sample(3, n=60)
+    run = enrich.Enrichment(*frames(spark, rows, cache), limit=limit, oversample=4, require_answer=False)
+    listed = [r.question for r in run.missing().collect()]
+    assert len(listed) == len(set(listed)) == run.counters().collect()[0].api_calls
+    assert not set(listed) & set(cache)
+
+
 def test_a_later_copy_does_not_rescue_a_failed_question(spark):
     rows = [(i, "empty", "a") for i in range(5)]
     _, counters = enrich.enrich(*frames(spark, rows, {"empty": {"answer": "x", "results": []}}))

@@ -42,5 +42,9 @@ def test_only_heavy_buckets_are_hot_and_their_rows_are_spread(spark, skewed):
 def test_join_by_id_and_unmatched(spark):
     a = spark.range(4).withColumn("x", F.lit("a"))
     b = spark.range(2, 6).withColumn("y", F.lit("b"))
-    assert sorted(r.id for r in joins.zip_by_id("id", a, b).collect()) == [2, 3]
+    assert sorted(r.id for r in joins.zip_by_id("id", a, b, complete=False).collect()) == [2, 3]
+    for other in (b, b.where("id < 5")):
+        with pytest.raises(Exception, match="tables differ in id"):
+            joins.zip_by_id("id", a, other).collect()
+    assert joins.zip_by_id("id", a, a.select("id", F.lit(1).alias("z")), b.select(F.col("id") - 2, "y").toDF("id", "y")).count() == 4
     assert sorted(tuple(r) for r in joins.unmatched("id", a, b).collect()) == [(0, "right"), (1, "right"), (4, "left"), (5, "left")]

@@ -61,7 +61,10 @@ def test_retained_checkpoints_are_limited_before_the_shuffle(spark):
 
 def test_status_of_questions_is_narrow(spark):
     """No exchange that decides which rows are kept carries a question text or a response."""
-    plan = plan_of(spark, "tool_counters")
+    run = catalog._run(spark, SF)
+    assert set(run.status().columns) == {"id", "key", "cached", "status"}
+    assert set(catalog.QUERIES["tool_counters"](spark, SF).columns) == set(catalog.enrich.COUNTERS)
+    plan = run.decide()._jdf.queryExecution().executedPlan().toString()
     assert "tool_response_json" not in plan
     exchanged = nodes(plan)
     for i, node in enumerate(exchanged):

@@ -99,9 +99,17 @@ def test_resolution_order_and_load(spark, tmp_path):
     assert (train.count(), validation.count()) == (12, 3)
     assert train.first().text.startswith("<|im_start|>user\nq")
     assert readers.resolve(spark, "qa_data", places)[1] == "mapped"
-    # a changed source does not change the stored splits
-    writers.write_table(base, places["qa_data"]["raw"])
+    stored = writers.recorded_version(spark, places["qa_data"]["mapped"])
     assert jobs.load_dataset(spark, "qa_data", places, sizes, "id", only_test=True).count() == 5
+    assert writers.recorded_version(spark, places["qa_data"]["mapped"]) == stored
+    # a changed source or other sizes give other splits
+    writers.write_table(base, places["qa_data"]["raw"])
+    assert [p.count() for p in jobs.load_dataset(spark, "qa_data", places, sizes, "id")] == [32, 3]
+    sizes["qa_data"]["test"] = 10
+    assert [p.count() for p in jobs.load_dataset(spark, "qa_data", places, sizes, "id")] == [30, 3]
+    # without a source the stored splits are all there is
+    only = {"qa_data": {"mapped": places["qa_data"]["mapped"]}}
+    assert jobs.load_dataset(spark, "qa_data", only, sizes, "id", only_test=True).count() == 7
 
 
 def test_a_table_that_does_not_fit_its_kind_is_refused(spark, tmp_path):
