@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from qaloom.llm import decontaminate, importance, licenses, packing, rules, sharding, simhash, substrings, tokens, toxicity
-from qaloom.llm.common import table
+from qaloom.llm import (
+    decontaminate, importance, licenses, packing, rules, runs, sharding, simhash, substrings, tokens, toxicity, trie, urls,
+)
+from qaloom.llm.common import store, table, word_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -120,3 +123,74 @@ def op9_licenses(spark, sf_dir):
 @query()
 def op10_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+# Host labels of sites whose pages are listed one by one in the query's block list.
+LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+_SITES = "(^|[.])(" + "|".join(LISTED_SITES) + ")[.]"
+
+_HOST_SQL = f"translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{urls.UPPER}', '{urls.LOWER}')"
+_PATH_SQL = "coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '')"
+_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
+
+
+@query(f"""WITH p AS (SELECT page_id, url, {_HOST_SQL} AS host, {_PATH_SQL} AS path, row_number() OVER () AS n FROM pages),
+c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www[.]', '') || regexp_replace(rtrim(path, '/'), '[.]html\\z', '') END AS page FROM p),
+listing AS (SELECT DISTINCT page FROM c WHERE regexp_matches(host, '{_SITES}')),
+rules(action, h, s) AS (VALUES {_RULES_SQL}),
+fits AS (SELECT n, arg_max(h || s, length(h) + length(s)) AS rule, arg_max(action, length(h) + length(s)) AS action FROM c, rules
+  WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s) GROUP BY n)
+SELECT page_id, url, host, path, rule, listing.page IS NOT NULL AS listed,
+  CASE WHEN action IS NOT NULL THEN action WHEN listing.page IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict
+FROM c LEFT JOIN fits USING (n) LEFT JOIN listing USING (page)""")
+def op11_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.where(urls.host_of(pages["url"]).rlike(_SITES)).select("url")
+    rules_table = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return urls.filter_urls(pages, rules_table, listed)
+
+
+def looped_tails(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` where a tenth of the texts, told by a hash of the id, end in a repeated stretch of words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    rows = docs.select("doc_id", "text", h.alias("h"), word_array(docs["text"]).alias("words")).withColumn("a", g % F.nullif(n, F.lit(0)))
+    rows = rows.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    looped = F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", source(i).cast("int"))), " ")
+    return rows.select("doc_id", F.when((F.col("h") % 10 == 0) & (n > 0), looped).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    found = runs.periodic_runs(looped_tails(table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    found = found.withColumn("best", F.array_max(order))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+        F.floor(1000 * length / period).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed_text", 256).alias("collapsed_sha256"),
+    )
+
+
+def with_shared_beginnings(turns: DataFrame, members: DataFrame) -> DataFrame:
+    """Numbered turns in which conversation c begins with the first h turns of c - c % 100 and goes on with its own from
+    its h-th on; h is a hash of its id modulo 6."""
+    h, base = F.crc32(F.col("conv_id").cast("string")) % 6, F.col("conv_id") - F.col("conv_id") % 100
+    heads = turns.where("conv_id % 100 = 0 AND idx < 5").withColumnRenamed("conv_id", "base")
+    taken = members.select("conv_id", h.alias("h"), base.alias("base")).join(heads, "base").where("idx < h").select(*turns.columns)
+    sizes = heads.groupBy("base").agg(F.count("*").alias("n"))
+    own = turns.withColumns({"h": h, "base": base}).where("idx >= h").join(sizes, "base", "left")
+    moved = F.col("idx") - F.col("h") + F.least(F.col("h"), F.coalesce("n", F.lit(0)))
+    return taken.unionByName(own.withColumn("idx", moved).select(*turns.columns))
+
+
+@query()
+def op13_prefix_trie(spark, sf_dir):
+    turns = store(trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
+    members = turns.select("conv_id").distinct()
+    return trie.trie_nodes(with_shared_beginnings(turns, members), members)
