@@ -48,7 +48,7 @@ def operators(spark, rows: int, skewed: bool):
     yield "split_exact", splits.split_exact(k, "id", rows // 10, rows // 20)
     yield "length profile", profiling.token_stats(questions.withColumn("k", F.col("question")).withColumn("k", F.hash("k") % 50),
                                                   "question", "id", ("k",), cap=None)
-    yield "early stop counters", enrich.Enrichment(questions, cache, limit=rows // 20).counters()
+    yield "early stop counters", enrich.Enrichment(questions, cache, limit=rows // 20).prepare().counters()
 
 
 def slowest_over_mean(spark, since: int) -> float:

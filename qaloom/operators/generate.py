@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.operators.dedupe import first_seen
+from qaloom.operators.dedupe import first_seen, packed
 from qaloom.operators.order import global_rank
 from qaloom.operators.splits import shuffle_limit
 from qaloom.schemas import require_columns
@@ -46,8 +46,8 @@ def union_categories(parts: dict[str, DataFrame]) -> DataFrame:
 
 
 def generation_order() -> Column:
-    """Category order, then item order, then template order."""
-    return F.struct("cat_ord", "item_ord", "template_ord")
+    """Category order, then item order, then template order, as one number."""
+    return packed(("cat_ord", 31), ("item_ord", 64), ("template_ord", 31))
 
 
 def unique_questions(grid: DataFrame) -> DataFrame:

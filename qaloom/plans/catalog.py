@@ -347,7 +347,7 @@ LIMITED = {"limit": 300, "oversample": 4}
 
 
 def _run(spark, sf, **options) -> enrich.Enrichment:
-    return enrich.Enrichment(I.seed_questions(spark, sf), I.cache(spark, sf), **options)
+    return enrich.Enrichment(I.seed_questions(spark, sf), I.response_log(spark, sf), order="seq", **options).prepare()
 
 
 @query(_walk_sql(True, None, 1) + ROWS_SQL)

@@ -185,7 +185,7 @@ def response_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cache(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_responses(response_log(spark, sf), ["seq"])
+    return latest_responses(response_log(spark, sf), "seq")
 
 
 # --- run metrics: three sessions per step, every fourth step an evaluation ---------------------------

@@ -12,7 +12,7 @@ from qaloom.operators.enrich import Enrichment
 from qaloom.operators.formats import apply_format
 from qaloom.operators.generate import sample_questions
 from qaloom.operators.splits import split_table
-from qaloom.sources.readers import has_splits, read_cache, read_questions, read_splits, resolve, source_version
+from qaloom.sources.readers import has_splits, number_questions, read_cache, read_questions, read_splits, resolve, source_version
 from qaloom.sources.writers import (
     recorded_version, stage_resume, write_audit_json, write_csv, write_jsonl, write_splits, write_table,
 )
@@ -60,7 +60,7 @@ def build_search_dataset(spark: SparkSession, cache_path: str, out: str, questio
     """
     cache = read_cache(spark, cache_path)
     if questions_path is not None:
-        numbered = read_questions(spark, questions_path).withColumn("id", F.monotonically_increasing_id())
+        numbered = number_questions(read_questions(spark, questions_path))
         # stored, so that every use of the numbers sees the same ones
         source = spark.read.parquet(write_table(numbered, f"{out}_questions"))
         defaults = {"require_answer": False, "oversample": 1}
@@ -68,11 +68,12 @@ def build_search_dataset(spark: SparkSession, cache_path: str, out: str, questio
         source, defaults = questions, {"require_answer": True, "oversample": 2}
     else:
         raise ValueError("give questions or questions_path")
-    run = Enrichment(source, cache, limit=limit, **{**defaults, **options})
-    id_col = run.id_col
-    write_table(run.rows().drop(id_col), out)
+    run = Enrichment(source, cache, limit=limit, **{**defaults, **options}).prepare()
+    write_table(run.rows().drop(run.id_col), out)
     write_jsonl(run.missing(), f"{out}_to_search")
-    return run.counters()
+    counters = spark.read.parquet(write_table(run.counters(), f"{out}_counters"))
+    run.release()
+    return counters
 
 
 def generate_pairs(qa: DataFrame, out: str, input_version: str, generate: Callable) -> DataFrame:

@@ -30,12 +30,12 @@ def build_session(app: str = "qaloom", master: str | None = None, shuffle_partit
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the cluster's shared checkpoint folder.
+def scratch_dir(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A new path under ``root``, by default under the cluster's shared checkpoint folder.
 
     Only where ``spark.checkpoint.dir`` is unset and all tasks run in the driver's process is a temporary folder used.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):

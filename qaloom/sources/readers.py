@@ -2,23 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qaloom import schemas
 from qaloom.functions.jsontext import is_one_json_value
 from qaloom.functions.text import is_blank
-from qaloom.operators.dedupe import last_written
+from qaloom.operators.dedupe import last_written, text_digest
 from qaloom.operators.order import running_sum
 from qaloom.operators.splits import SPLITS
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on whichever Hadoop file system it names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+from qaloom.sources.files import path_exists
 
 
 def read_columnar(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -99,6 +93,18 @@ def read_questions(spark: SparkSession, path: str, strict: bool = True) -> DataF
     return parse_questions(spark.read.text(path), strict)
 
 
+def number_questions(questions: DataFrame) -> DataFrame:
+    """Adds ``id``: the digest of question and answer, and the row's ordinal among equal rows.
+
+    The same lines get the same ids in whatever files they come. Equal rows are counted in chunks of their input
+    positions, so one question with a third of all rows is many tasks.
+    """
+    key = F.md5(F.concat_ws("\0", "question", "answer"))
+    rows = questions.withColumns({"_key": key, "_line": F.monotonically_increasing_id()})
+    counted = running_sum(rows.withColumn("_chunk", F.floor(F.col("_line") / 4096)), ["_key"], "_chunk", "_line", F.lit(1), "_nth")
+    return counted.select(F.concat("_key", F.lit("-"), F.col("_nth").cast("string")).alias("id"), *questions.columns)
+
+
 def _line_order() -> list:
     """File, start of the file split, and a number that grows with the line inside the split."""
     return [
@@ -120,16 +126,35 @@ def parse_cache(lines: DataFrame) -> DataFrame:
     )
 
 
-def latest_responses(log: DataFrame, order: list[str]) -> DataFrame:
-    """Last written response per query; ``order`` are the columns that order the writes."""
-    rows = log.select("query", "response", F.struct(*order).alias("_o"))
-    return last_written(rows, "query", F.col("_o")).drop("_o")
+def latest_responses(log: DataFrame, order: str) -> DataFrame:
+    """Last written response per query; ``order`` is a number that grows with the writes, unique per query."""
+    return last_written(log, "query", F.col(order)).select("query", "response")
+
+
+def latest_lines(entries: DataFrame, lines: DataFrame) -> DataFrame:
+    """The last entry per query with its ``number``, the position of its line among all ``lines``.
+
+    Lines are numbered by file name, then position, through a table with one row per file split. Queries are compared as
+    digests, and the winners' entries are fetched by line, so responses move once.
+    """
+    splits = lines.groupBy("file", "block").agg(F.min("line").alias("first"), (F.max("line") - F.min("line") + 1).alias("n"))
+    earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    narrow = entries.select(text_digest("query").alias("key"), "file", "block", "line").join(offsets, ["file", "block"])
+    numbered = narrow.select("key", "line", (F.col("offset") + F.col("line") - F.col("first")).alias("number"))
+    winners = numbered.groupBy("key").agg(F.max_by("line", "number").alias("line"), F.max("number").alias("number"))
+    return entries.drop("file", "block").join(winners.drop("key"), "line").drop("line")
+
+
+def log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text lines with what orders them: file, split, and a number that is unique and grows with the line in a split."""
+    return spark.read.text(path).select("value", *_line_order())
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """Append log -> latest response per query. Files are ordered by name, lines by position."""
-    lines = spark.read.text(path).select("value", *_line_order())
-    return latest_responses(parse_cache(lines), ["file", "block", "line"])
+    lines = log_lines(spark, path)
+    return latest_lines(parse_cache(lines), lines).drop("number")
 
 
 # Layout of one log line, of a metric event, and the mark of a (re)start.

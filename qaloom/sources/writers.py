@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.sources.readers import path_exists
+from qaloom.sources.files import path_exists
 
 VERSION_FILE = "_input_version"
 

@@ -72,12 +72,29 @@ def test_rows_and_counters(spark, limit, require_answer):
 @pytest.mark.parametrize("limit", [0, 3, None])
 def test_work_list_is_what_the_counters_count(spark, limit):
     rows, cache = sample(3, n=60)
-    run = enrich.Enrichment(*frames(spark, rows, cache), limit=limit, oversample=4, require_answer=False)
+    run = enrich.Enrichment(*frames(spark, rows, cache), limit=limit, oversample=4, require_answer=False).prepare()
     listed = [r.question for r in run.missing().collect()]
     assert len(listed) == len(set(listed)) == run.counters().collect()[0].api_calls
     assert not set(listed) & set(cache)
 
 
+def test_a_log_is_reduced_to_its_last_writes(spark, tmp_path):
+    rows, cache = sample(5, n=60)
+    questions, latest = frames(spark, rows, cache)
+    number = F.crc32(F.col("query"))
+    old = latest.select("query", F.lit(None).cast(latest.schema["response"].dataType).alias("response"), (-1 - number).alias("at"))
+    log = latest.withColumn("at", number).unionByName(old)
+    plain = enrich.Enrichment(questions, latest, limit=9, oversample=4).prepare()
+    run = enrich.Enrichment(questions, log, limit=9, oversample=4, order="at", scratch=str(tmp_path)).prepare()
+    assert run.counters().collect() == plain.counters().collect()
+    assert sorted(map(str, run.rows().collect())) == sorted(map(str, plain.rows().collect()))
+    assert len(list(tmp_path.iterdir())) == 1
+    run.release()
+    assert not list(tmp_path.iterdir())
+    with pytest.raises(RuntimeError, match="prepare"):
+        run.rows()
+
+
 def test_a_later_copy_does_not_rescue_a_failed_question(spark):
     rows = [(i, "empty", "a") for i in range(5)]
     _, counters = enrich.enrich(*frames(spark, rows, {"empty": {"answer": "x", "results": []}}))

@@ -62,11 +62,29 @@ def test_retained_checkpoints_are_limited_before_the_shuffle(spark):
 def test_status_of_questions_is_narrow(spark):
     """No exchange that decides which rows are kept carries a question text or a response."""
     run = catalog._run(spark, SF)
-    assert set(run.status().columns) == {"id", "key", "cached", "status"}
+    assert set(run.status().columns) == {"id", "key", "response_key", "cached", "status"}
     assert set(catalog.QUERIES["tool_counters"](spark, SF).columns) == set(catalog.enrich.COUNTERS)
     plan = run.decide()._jdf.queryExecution().executedPlan().toString()
-    assert "tool_response_json" not in plan
+    assert "tool_response_json" not in plan and "SortAggregate" not in plan
     exchanged = nodes(plan)
     for i, node in enumerate(exchanged):
         if node.startswith("Exchange hashpartitioning(key#"):
             assert not re.search(r"\bquestion#", exchanged[i + 1].split("keys=")[-1]), exchanged[i + 1]
+
+
+@pytest.mark.parametrize(("name", "wide"), [("first_seen_docs", "text"), ("question_unique", "question"), ("cache_latest", "response"), ("tool_rows", "response")])
+def test_winners_are_found_on_narrow_rows(spark, name, wide):
+    """Texts are never sorted by an aggregate and cross one exchange at most (here none: the winners are few enough)."""
+    joins = ("spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    spark.conf.set(joins[0], "-1")
+    try:
+        plan = nodes(plan_of(spark, name))
+    finally:
+        spark.conf.set(*joins)
+    assert not [n for n in plan if n.startswith("SortAggregate")]
+    carried = []
+    for i, node in enumerate(plan):
+        if node.startswith("Exchange hashpartitioning"):
+            below = next(n for n in plan[i + 1:] if n.startswith(("Project", "HashAggregate", "FileScan", "ColumnarToRow")))
+            carried.append(bool(re.search(rf"[\[ ]{wide}#\d+[,\]]|AS {wide}#", below)))
+    assert sum(carried) <= 1, plan
