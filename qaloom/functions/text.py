@@ -89,7 +89,7 @@ def token_count(c: Column, method: str = "whitespace") -> Column:
     """Length in tokens; ``method`` is "whitespace" or "chars". A model tokenizer plugs in as a
     vectorised UDF column instead (see ``profiling.token_stats``)."""
     if method == "whitespace":
-        return F.size(words(F.coalesce(c, F.lit(""))))
+        return F.regexp_count(F.coalesce(c, F.lit("")), F.lit(NOT_WS + "+"))
     if method == "chars":
         return F.length(F.coalesce(c, F.lit("")))
     raise ValueError(f"unknown token counting method {method!r}")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -24,16 +26,35 @@ def map_batches(df: DataFrame, fn: Callable, batch_size: int, schema: str | T.St
     return df.mapInPandas(run, schema)
 
 
-def map_text(df: DataFrame, source: str, target: str, fn: Callable, batch_size: int, element: T.DataType) -> DataFrame:
-    """Adds ``target`` = ``fn(list of source texts)`` per batch; all other columns pass through.
+def map_texts(df: DataFrame, columns: dict[str, str], fn: Callable, batch_size: int, element: T.DataType) -> DataFrame:
+    """Adds, per ``target: source``, target = ``fn(list of source texts)``, called with ``batch_size`` texts at most.
 
-    ``fn`` returns one value of type ``element`` per text, in order.
+    Only the source columns are sent to Python, all of them in one pass; the other columns stay in the JVM. How much is
+    sent at a time follows the session's Arrow limits on rows and bytes. ``fn`` returns one value of type ``element`` per
+    text, in order; it is not run again for columns derived from its result.
     """
 
-    def run(frame):
-        values = list(fn(frame[source].tolist()))
-        if len(values) != len(frame):
-            raise ValueError(f"batch function returned {len(values)} values for {len(frame)} rows")
-        return frame.assign(**{target: values})
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for rows in batches:
+            texts = [t for row in rows for t in row]
+            values = []
+            for start in range(0, len(texts), batch_size):
+                part = texts[start:start + batch_size]
+                answers = list(fn(part))
+                if len(answers) != len(part):
+                    raise ValueError(f"batch function returned {len(answers)} values for {len(part)} rows")
+                values.extend(answers)
+            yield pd.Series([values[i:i + width] for i in range(0, len(values), width)], dtype=object)
+
+    if batch_size < 1:
+        raise ValueError("batch_size must be positive")
+    width = len(columns)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    model = F.pandas_udf(run, T.ArrayType(element)).asNondeterministic()
+    answered = df.withColumn("_answers", model(F.array(*columns.values())))
+    return answered.select(*df.columns, *[F.get("_answers", F.lit(i)).alias(target) for i, target in enumerate(columns)])
+
 
-    return map_batches(df, run, batch_size, T.StructType([*df.schema.fields, T.StructField(target, element)]))
+def map_text(df: DataFrame, source: str, target: str, fn: Callable, batch_size: int, element: T.DataType) -> DataFrame:
+    """``map_texts`` for one column."""
+    return map_texts(df, {target: source}, fn, batch_size, element)

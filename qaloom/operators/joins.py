@@ -51,29 +51,27 @@ def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, id_
 
 
 def zip_by_id(id_col: str, first: DataFrame, *others: DataFrame, complete: bool = True) -> DataFrame:
-    """Tables that describe the same rows side by side, joined on the explicit row id.
+    """Tables that describe the same rows side by side, joined on the explicit row id, which is unique in each.
 
-    Other numbers of rows or other ids are an error when the result is computed; with ``complete=False`` only
-    the common ids are returned (``unmatched`` lists the rest). The check compares row count and a sum of id
-    hashes, which reads the id columns only.
+    A row that some table lacks is an error when the result is computed, also where a whole table is empty: a full outer
+    join with one marker per table finds it in the same pass. With ``complete=False`` only the common ids are returned
+    (``unmatched`` lists the rest). Null ids match nothing.
     """
-    joined = first
-    for other in others:
-        joined = joined.join(other, id_col)
     if not complete or not others:
+        joined = first
+        for other in others:
+            joined = joined.join(other, id_col)
         return joined
-    marks = [_id_mark(df, id_col) for df in (first, *others)]
-    same = F.lit(True)
-    for mark in marks[1:]:
-        same = same & (mark == marks[0])
-    numbers = F.concat_ws(", ", *[m.cast("string") for m in marks])
-    problem = F.raise_error(F.concat(F.lit(f"tables differ in {id_col} (rows, digest): "), numbers)).cast("boolean")
-    return joined.where(F.when(same, True).otherwise(problem))
-
-
-def _id_mark(df: DataFrame, id_col: str) -> Column:
-    digest = F.coalesce(F.sum(F.xxhash64(F.col(id_col).cast("string")).cast("decimal(38,0)")), F.lit(0))
-    return df.agg(F.concat_ws("/", F.count("*"), digest).alias("mark")).scalar()
+    marks = [f"_in{i}" for i in range(len(others) + 1)]
+    joined = first.withColumn(marks[0], F.lit(True))
+    for mark, other in zip(marks[1:], others, strict=True):
+        joined = joined.join(other.withColumn(mark, F.lit(True)), id_col, "full_outer")
+    present = F.lit(True)
+    for mark in marks:
+        present = present & F.col(mark).isNotNull()
+    lacking = F.concat_ws(", ", *[F.when(F.col(m).isNull(), F.lit(f"table {i}")) for i, m in enumerate(marks)])
+    message = F.concat(F.lit(f"tables differ in {id_col}: "), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(" is not in "), lacking)
+    return joined.where(F.when(present, True).otherwise(F.raise_error(message).cast("boolean"))).drop(*marks)
 
 
 def unmatched(id_col: str, left: DataFrame, right: DataFrame) -> DataFrame:

@@ -5,6 +5,10 @@ ids look like, so "the n-th row" is found by counting rows per bucket (a bounded
 running totals over that table, and sorting only the one bucket in which the n-th row falls. Limits,
 samples, splits and early stops then become a comparison with that row: the data itself is neither
 sorted nor shuffled. Ids must be unique; equal ids would share a position.
+
+Counts, cuts and ranks are read from a position index (id, position, bucket; ``position_index``), which is stored in
+the scratch folder, by default when an operator is called. So however the rows are made, they are computed twice at most:
+once for the index, once for the result.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from qaloom.operators.dedupe import packed
+from qaloom.session import scratch_dir
 
 HEX_DIGITS = 4
 MAX_BUCKETS = 16**HEX_DIGITS  # upper bound of every per-bucket table, for any input size
@@ -57,12 +62,20 @@ def _keyed(df: DataFrame, id_col: str, seed: int, by: list[str]) -> DataFrame:
     return df.select(*by, pos.alias("_pos")).withColumn("_b", _bucket(F.col("_pos.key")))
 
 
-def nth_positions(df: DataFrame, id_col: str, sizes: dict[str, Column | int], seed: int = 42) -> DataFrame:
-    """One row: ``total`` and, per named size n, the position of the n-th row.
+def position_index(df: DataFrame, id_col: str, seed: int = 42, by: tuple[str, ...] = ()) -> DataFrame:
+    """Stored narrow table with every row's position and bucket (and group); runs one job over ``df``."""
+    rows = _keyed(df, id_col, seed, list(by))
+    path = scratch_dir(df.sparkSession, "positions")
+    rows.write.parquet(path)
+    return df.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def nth_positions(index: DataFrame, sizes: dict[str, Column | int]) -> DataFrame:
+    """One row: ``total`` and, per named size n, the position of the n-th row of a position index.
 
     A size may be an expression over ``total``. Its position is null where n exceeds the row count.
     """
-    rows = _keyed(df, id_col, seed, [])
+    rows = index
     totals = _bucket_totals(rows, [])
     wanted = F.explode(F.array(*[
         F.struct(F.lit(name).alias("name"), (F.lit(n) if isinstance(n, int) else n).cast("bigint").alias("n"))
@@ -86,23 +99,29 @@ def nth_positions(df: DataFrame, id_col: str, sizes: dict[str, Column | int], se
 def at_or_before(df: DataFrame, id_col: str, n: int, seed: int = 42, where: Column | None = None) -> Column:
     """Predicate for the row's own table: its position is not after the n-th row that meets ``where``.
 
-    True everywhere when fewer than n rows meet it.
+    True everywhere when fewer than n rows meet it. ``df`` is a stored narrow table; it is read, not indexed.
     """
     if n <= 0:
         return F.lit(False)
     counted = df.where(where) if where is not None else df
-    last = nth_positions(counted, id_col, {"last": n}, seed).select("last").scalar()
+    return _not_after(_keyed(counted, id_col, seed, []), id_col, n, seed)
+
+
+def _not_after(index: DataFrame, id_col: str, n: int, seed: int) -> Column:
+    last = nth_positions(index, {"last": n}).select("last").scalar()
     return last.isNull() | (position(id_col, seed) <= last)
 
 
-def keep_first(df: DataFrame, id_col: str, n: int, seed: int = 42, by: tuple[str, ...] = ()) -> DataFrame:
+def keep_first(df: DataFrame, id_col: str, n: int, seed: int = 42, by: tuple[str, ...] = (),
+               index: DataFrame | None = None) -> DataFrame:
     """Exactly min(n, rows) rows in seeded order, per group if ``by`` is given."""
     if n <= 0:
         return df.where(F.lit(False))
+    index = position_index(df, id_col, seed, by) if index is None else index
     if not by:
-        return df.where(at_or_before(df, id_col, n, seed))
+        return df.where(_not_after(index, id_col, n, seed))
     keys = list(by)
-    rows = _keyed(df, id_col, seed, keys)
+    rows = index
     totals = _bucket_totals(rows, keys)
     cuts = _group_cuts(rows, totals, keys, n)
     # joined on (group, bucket), so one group with most of the rows still spreads over all buckets; where the
@@ -132,17 +151,21 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, on).drop(*[f"_right_{k}" for k in keys])
 
 
-def global_rank(df: DataFrame, id_col: str, seed: int = 42, name: str = "rank") -> DataFrame:
-    """Exact 1-based rank of every row in seeded order: rank in the bucket plus the rows before it."""
-    totals = _bucket_totals(_keyed(df, id_col, seed, []), []).select("_b", "_before")
+def global_rank(df: DataFrame, id_col: str, seed: int = 42, name: str = "rank", first: int | None = None,
+                index: DataFrame | None = None) -> DataFrame:
+    """Exact 1-based rank of every row in seeded order: rank in the bucket plus the rows before it.
+
+    Ranks are made on the index and joined to the rows by id; with ``first`` only rows up to that rank are returned.
+    """
+    index = position_index(df, id_col, seed) if index is None else index
+    totals = _bucket_totals(index, []).select("_b", "_before")
+    if first is not None:
+        totals = totals.where(F.col("_before") < first)
     in_bucket = F.row_number().over(Window.partitionBy("_b").orderBy("_pos"))
-    return (
-        df.withColumn("_pos", position(id_col, seed))
-        .withColumn("_b", _bucket(F.col("_pos.key")))
-        .join(F.broadcast(totals), "_b")  # <= MAX_BUCKETS rows
-        .withColumn(name, in_bucket + F.col("_before"))
-        .select(*df.columns, name)
-    )
+    ranked = index.join(F.broadcast(totals), "_b").withColumn(name, in_bucket + F.col("_before"))  # <= MAX_BUCKETS rows
+    if first is not None:
+        ranked = ranked.where(F.col(name) <= first)
+    return df.join(ranked.select(F.col("_pos.id").alias(id_col), name), id_col).select(*df.columns, name)
 
 
 def running_sum(df: DataFrame, by: list[str], chunk: str, order: str, value: Column, name: str) -> DataFrame:

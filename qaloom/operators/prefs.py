@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 from qaloom.functions.overlap import ngram_matches
 from qaloom.functions.text import remove_white_space, token_count, utrim
 from qaloom.functions.vectors import dot, l2_normalise
-from qaloom.operators.batches import map_text
+from qaloom.operators.batches import map_text, map_texts
 from qaloom.operators.formats import prompt_generate
 from qaloom.operators.joins import lookup
+from qaloom.operators.profiling import length_table
 from qaloom.schemas import require_columns
 
 # Score weights, drop threshold, n-gram order, recall weight, model batch sizes.
@@ -41,9 +42,7 @@ def generate_rejected(qa: DataFrame, generate: Callable, batch_size: int = GENER
 
 def embed_sides(pairs: DataFrame, embed: Callable, batch_size: int = EMBED_BATCH) -> DataFrame:
     """Adds unit vectors ``chosen_vec`` and ``rejected_vec``; ``embed`` maps a list of texts to vectors."""
-    out = pairs
-    for side in ("chosen", "rejected"):
-        out = map_text(out, side, f"{side}_vec", embed, batch_size, T.ArrayType(T.DoubleType()))
+    out = map_texts(pairs, {"chosen_vec": "chosen", "rejected_vec": "rejected"}, embed, batch_size, T.ArrayType(T.DoubleType()))
     return out.withColumns({c: l2_normalise(F.col(c)) for c in ("chosen_vec", "rejected_vec")})
 
 
@@ -131,13 +130,17 @@ def drop_counts(audit: DataFrame) -> DataFrame:
 
 
 def length_bias(df: DataFrame, *by: str, method: str = "whitespace") -> DataFrame:
-    """Average, shortest and longest token length of the three texts, in one pass."""
-    lengths = df.withColumns({f"_{c}": token_count(F.col(c), method) for c in ("prompt", "chosen", "rejected")})
-    aggs = [F.count("*").alias("n_rows")]
-    for c in ("prompt", "chosen", "rejected"):
+    """Total, average, shortest, longest and median token length of the three texts side by side, in one pass."""
+    texts = ("prompt", "chosen", "rejected")
+    lengths = length_table(df, {c: token_count(F.col(c), method) for c in texts}, by)
+    aggs = [F.sum(F.when(F.col("text") == texts[0], F.col("n"))).alias("n_rows")]
+    for c in texts:
+        tokens, rows = F.when(F.col("text") == c, F.col("tokens")), F.when(F.col("text") == c, F.col("n"))
         aggs += [
-            F.bround(F.avg(f"_{c}"), 1).alias(f"{c}_avg"),
-            F.min(f"_{c}").cast("bigint").alias(f"{c}_min"),
-            F.max(f"_{c}").cast("bigint").alias(f"{c}_max"),
+            F.sum(tokens * rows).alias(f"{c}_total"),
+            F.bround(F.sum(tokens * rows) / F.sum(rows), 1).alias(f"{c}_avg"),
+            F.min(tokens).alias(f"{c}_min"),
+            F.max(tokens).alias(f"{c}_max"),
+            F.percentile(tokens, F.lit(0.5), F.col("n")).alias(f"{c}_median"),
         ]
     return lengths.groupBy(*by).agg(*aggs)

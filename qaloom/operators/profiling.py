@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qaloom.functions.text import token_count, words
 from qaloom.operators.splits import sample_cap
+from qaloom.session import scratch_dir
 
 
-def _length_table(df: DataFrame, tokens: Column, by: list[str]) -> DataFrame:
-    """How many rows have which token length: bounded by the distinct lengths, so all later
-    statistics (median, totals, bins) run on a small table after one pass over the texts."""
-    return df.select(*by, tokens.cast("bigint").alias("tokens")).groupBy(*by, "tokens").agg(F.count("*").alias("n"))
+def length_table(df: DataFrame, texts: dict[str, Column], by: tuple[str, ...] = ()) -> DataFrame:
+    """``by..., text, tokens, n``: how many rows have which token length, for several texts in one pass.
+
+    ``texts`` maps a name to the column of its token counts. The table is bounded by the distinct lengths, so all later
+    statistics (median, totals, bins) run on a small table. Tables of parts of the data are merged by ``merge_lengths``.
+    """
+    each = [F.struct(F.lit(name).alias("text"), tokens.cast("bigint").alias("tokens")) for name, tokens in texts.items()]
+    counted = df.select(*by, F.explode(F.array(*each)).alias("_l")).select(*by, "_l.text", "_l.tokens")
+    return counted.groupBy(*by, "text", "tokens").agg(F.count("*").alias("n"))
+
+
+def store_lengths(lengths: DataFrame, path: str | None = None) -> DataFrame:
+    """The length table as stored Parquet, by default in the scratch folder: one pass over the texts for all reports."""
+    spark = lengths.sparkSession
+    path = scratch_dir(spark, "lengths") if path is None else path
+    lengths.write.mode("overwrite").parquet(path)
+    return spark.read.schema(lengths.schema).parquet(path)
+
+
+def merge_lengths(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """One length table of several with the same groups."""
+    merged = first
+    for other in others:
+        merged = merged.unionByName(other)
+    keys = [c for c in first.columns if c != "n"]
+    return merged.groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
 def _stats(weight: str = "n") -> list[Column]:
@@ -28,28 +51,25 @@ def _stats(weight: str = "n") -> list[Column]:
     ]
 
 
-def token_stats(df: DataFrame, col: str, id_col: str, by: tuple[str, ...] = (), cap: int | None = None,
-                seed: int = 42, method: str = "whitespace", tokens: Column | None = None) -> DataFrame:
-    """Token statistics per group over all rows, or with ``cap`` over that many sampled rows of each at most.
+STATS = ("n_tokenized", "total_tokens_in_sample", "avg", "min", "max", "median")
 
-    ``tokens`` may be any integer column expression, e.g. a vectorised tokenizer UDF, instead of
-    ``method``. ``is_estimate`` marks groups that were sampled.
-    """
-    keys = list(by)
-    sampled = df if cap is None else sample_cap(df, id_col, cap, seed, by)
-    lengths = _length_table(sampled, token_count(F.col(col), method) if tokens is None else tokens, keys)
-    if cap is None:
-        stats = lengths.groupBy(*keys).agg(*_stats()).withColumn("n_rows", F.col("n_tokenized"))
+
+def text_stats(lengths: DataFrame, texts: list[str], by: tuple[str, ...] = (), rows: DataFrame | None = None) -> DataFrame:
+    """Per group and text: rows, tokenized rows, whether that is a sample, tokens in it, the estimate for all rows, mean,
+    extremes and median. ``rows`` (group, n_rows) says how many rows there are, if the lengths are of a sample. Groups, and
+    without groups texts, that have no rows at all get zeros."""
+    keys = [*by, "text"]
+    stats = lengths.groupBy(*keys).agg(*_stats())
+    names = F.explode(F.array(*[F.lit(t) for t in texts])).alias("text")
+    if rows is not None:
+        stats = rows.withColumn("text", names).join(stats, keys, "left")
+    elif by:
+        stats = stats.withColumn("n_rows", F.col("n_tokenized"))
     else:
-        rows = df.groupBy(*keys).agg(F.count("*").alias("n_rows"))
-        stats = lengths.groupBy(*keys).agg(*_stats())
-        if keys:
-            stats = rows.join(stats, keys)
-        else:
-            stats = stats.withColumn("n_rows", rows.scalar())
-    zero = {c: F.coalesce(c, F.lit(0)) for c in ("n_tokenized", "total_tokens_in_sample", "avg", "min", "max", "median")}
+        all_texts = lengths.sparkSession.range(1).select(names)
+        stats = all_texts.join(stats, keys, "left").withColumn("n_rows", F.coalesce("n_tokenized", F.lit(0)))
     per_row = F.col("total_tokens_in_sample") / F.nullif(F.col("n_tokenized"), F.lit(0))
-    return stats.withColumns(zero).select(
+    return stats.withColumns({c: F.coalesce(c, F.lit(0)) for c in STATS}).select(
         *keys,
         "n_rows",
         "n_tokenized",
@@ -63,13 +83,34 @@ def token_stats(df: DataFrame, col: str, id_col: str, by: tuple[str, ...] = (),
     )
 
 
+def profile_texts(df: DataFrame, texts: list[str] | dict[str, Column], id_col: str, by: tuple[str, ...] = (), cap: int | None = None,
+                  seed: int = 42, method: str = "whitespace") -> DataFrame:
+    """``text_stats`` of several text columns of a table, over all rows or, with ``cap``, over that many sampled rows of
+    each group at most. ``texts`` are column names, or maps a name to a column of token counts."""
+    counts = texts if isinstance(texts, dict) else {c: token_count(F.col(c), method) for c in texts}
+    if cap is None:
+        return text_stats(length_table(df, counts, by), list(counts), by)
+    rows = df.groupBy(*by).agg(F.count("*").alias("n_rows"))
+    return text_stats(length_table(sample_cap(df, id_col, cap, seed, by), counts, by), list(counts), by, rows)
+
+
+def token_stats(df: DataFrame, col: str, id_col: str, by: tuple[str, ...] = (), cap: int | None = None,
+                seed: int = 42, method: str = "whitespace", tokens: Column | None = None) -> DataFrame:
+    """Token statistics of one text per group over all rows, or with ``cap`` over that many sampled rows of each at most.
+
+    ``tokens`` may be any integer column expression instead of ``method``, e.g. ``tokenizing.tokenizer_count``.
+    """
+    counts = {col: token_count(F.col(col), method) if tokens is None else tokens}
+    return profile_texts(df, counts, id_col, by, cap, seed).drop("text")
+
+
 def profile(df: DataFrame, col: str, dataset: str = "dataset", split: str = "split",
             method: str = "whitespace") -> DataFrame:
     """Rows, column count and token statistics per dataset and split, with totals per dataset and overall.
 
     The roll-up runs on the length table, not on the data.
     """
-    lengths = _length_table(df, token_count(F.col(col), method), [dataset, split])
+    lengths = length_table(df, {col: token_count(F.col(col), method)}, (dataset, split))
     return (
         lengths.rollup(dataset, split).agg(*_stats())
         .withColumnRenamed("n_tokenized", "n_rows")
@@ -78,43 +119,33 @@ def profile(df: DataFrame, col: str, dataset: str = "dataset", split: str = "spl
     )
 
 
-def size_mb(df: DataFrame, *by: str) -> DataFrame:
-    """Bytes / 1e6 of the files behind a file-based table, per group of (partition) columns."""
-    files = df.select(*by, F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes"))
-    per_file = files.groupBy(*by, "path").agg(F.max("bytes").alias("bytes"))
-    return per_file.groupBy(*by).agg(F.count("*").alias("n_files"), F.bround(F.sum("bytes") / 1e6, 2).alias("size_mb"))
+def size_mb(spark: SparkSession, path: str, *by: str) -> DataFrame:
+    """Files and bytes / 1e6 of a Parquet table, per group of partition columns; from the file listing, no data is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(*by, "length")
+    return files.groupBy(*by).agg(F.count("*").alias("n_files"), F.bround(F.sum("length") / 1e6, 2).alias("size_mb"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 40, method: str = "whitespace") -> DataFrame:
     """Equal-width bins between the shortest and longest length; the last bin includes the maximum.
 
-    One row per bin (empty ones too) with its edges, count, and the mean of all lengths.
+    One row per bin (empty ones too) with its edges, count, and the mean of all lengths; no rows for an empty table.
     """
-    lengths = _length_table(df, token_count(F.col(col), method), [])
-    whole = Window.partitionBy()  # over the length table: one row per distinct length
-    placed = lengths.withColumns({
-        "lo": F.min("tokens").over(whole),
-        "hi": F.max("tokens").over(whole),
-        "mean": F.sum(F.col("tokens") * F.col("n")).over(whole) / F.sum("n").over(whole),
-    })
+    lengths = store_lengths(length_table(df, {col: token_count(F.col(col), method)}))
+    lo, hi = F.min("tokens").cast("double"), F.max("tokens").cast("double")
     # a single distinct length gets a range of one around it
-    same = F.col("lo") == F.col("hi")
-    placed = placed.withColumns({
-        "lo": F.when(same, F.col("lo") - 0.5).otherwise(F.col("lo").cast("double")),
-        "hi": F.when(same, F.col("hi") + 0.5).otherwise(F.col("hi").cast("double")),
-    })
-    in_bin = F.least(F.floor((F.col("tokens") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))), F.lit(bins - 1))
-    bounds = placed.groupBy("lo", "hi", "mean").agg(*[
-        F.coalesce(F.sum(F.when(in_bin == b, F.col("n"))), F.lit(0)).alias(f"b{b}") for b in range(bins)
-    ])
-    counts = F.posexplode(F.array(*[F.col(f"b{b}") for b in range(bins)])).alias("bin", "n_rows")
-    width = (F.col("hi") - F.col("lo")) / bins
-    return bounds.select("lo", "hi", "mean", counts).select(
+    same = F.when(lo == hi, 0.5).otherwise(0.0)
+    edges = lengths.agg((lo - same).alias("lo"), (hi + same).alias("hi"), (F.sum(F.col("tokens") * F.col("n")) / F.sum("n")).alias("mean"))
+    edge = edges.select(F.struct("lo", "hi", "mean")).scalar()
+    width = (edge["hi"] - edge["lo"]) / bins
+    in_bin = F.least(F.floor((F.col("tokens") - edge["lo"]) * bins / (edge["hi"] - edge["lo"])), F.lit(bins - 1)).cast("int")
+    counts = lengths.groupBy(in_bin.alias("bin")).agg(F.sum("n").alias("n_rows"))
+    all_bins = lengths.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).where(edge["lo"].isNotNull())
+    return all_bins.join(counts, "bin", "left").select(
         "bin",
-        (F.col("lo") + F.col("bin") * width).alias("bin_from"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("bin_to"),
-        "n_rows",
-        F.round("mean", 6).alias("mean"),
+        (edge["lo"] + F.col("bin") * width).alias("bin_from"),
+        (edge["lo"] + (F.col("bin") + 1) * width).alias("bin_to"),
+        F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+        F.round(edge["mean"], 6).alias("mean"),
     )
 
 

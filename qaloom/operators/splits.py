@@ -8,7 +8,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.operators.order import global_rank, keep_first, nth_positions, position
+from qaloom.operators.order import global_rank, keep_first, nth_positions, position, position_index
 
 SPLITS = ("train", "validation", "test")
 DEFAULT_SHARE = 0.25  # pool and validation share where no size is configured
@@ -31,11 +31,11 @@ def expected_sizes(total: int, test: int | None = None, validation: int | None =
 
 
 def split_exact(df: DataFrame, id_col: str, test: int | None = None, validation: int | None = None,
-                seed: int = 42) -> DataFrame:
+                seed: int = 42, index: DataFrame | None = None) -> DataFrame:
     """Adds ``split``; exact sizes, same result for any partitioning of the input.
 
-    The rows themselves are not shuffled: two cut positions are found from the ids alone and every
-    row is compared with them.
+    The rows themselves are not shuffled: two cut positions are found from the position index (made here unless it is
+    given) and every row is compared with them.
     """
     if test is not None and validation is not None and not 0 < validation < test:
         raise ValueError(f"need 0 < validation < test, got {validation}, {test}")
@@ -43,7 +43,7 @@ def split_exact(df: DataFrame, id_col: str, test: int | None = None, validation:
     feasible = (F.lit(0) < val) & (val < pool) & (pool < F.col("total"))
     problem = F.raise_error(F.lit("need 0 < validation < test < rows"))
     pool = F.when(feasible, pool).otherwise(problem.cast("bigint"))
-    cuts = nth_positions(df, id_col, {"validation": val, "pool": pool}, seed)
+    cuts = nth_positions(position_index(df, id_col, seed) if index is None else index, {"validation": val, "pool": pool})
     cut = cuts.select(F.struct("validation", "pool").alias("cut")).scalar()
     pos = position(id_col, seed)
     return df.withColumn(
@@ -108,7 +108,7 @@ def union_splits(parts: dict[str, DataFrame | None], wanted: list[str]) -> DataF
 
 def shuffle_limit(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
     """The first n rows in seeded order, with their 1-based ``rank``."""
-    return global_rank(keep_first(df, id_col, n, seed), id_col, seed)
+    return global_rank(df, id_col, seed, first=n)
 
 
 def oversample_limit(df: DataFrame, id_col: str, limit: int | None, factor: int, seed: int = 42) -> DataFrame:

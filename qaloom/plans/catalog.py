@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qaloom.functions.text import normalise_strict, words
+from qaloom.functions.tokenizing import split_tokenizer, tokenizer_count
 from qaloom.functions.overlap import char_bag_overlap
 from qaloom.operators import batches, dedupe, enrich, filters, formats, generate, joins, order, prefs, profiling, runlogs, scoring
 from qaloom.operators import splits, toolcalls
@@ -462,7 +463,8 @@ def pref_drop_counts(spark, sf):
 
 
 LENGTHS_SQL = ", ".join(
-    f"round_even(avg({TOKENS_SQL.format(c)}), 1) AS {c}_avg, min({TOKENS_SQL.format(c)}) AS {c}_min, max({TOKENS_SQL.format(c)}) AS {c}_max"
+    f"CAST(sum({TOKENS_SQL.format(c)}) AS BIGINT) AS {c}_total, round_even(avg({TOKENS_SQL.format(c)}), 1) AS {c}_avg, "
+    f"min({TOKENS_SQL.format(c)}) AS {c}_min, max({TOKENS_SQL.format(c)}) AS {c}_max, median({TOKENS_SQL.format(c)}) AS {c}_median"
     for c in ("prompt", "chosen", "rejected")
 )
 
@@ -618,9 +620,57 @@ def profile_rollup(spark, sf):
     return profiling.profile(splits.split_exact(docs, "doc_id", test=100, validation=50), "text", "lang", "split")
 
 
-@query()
+@query("""SELECT 'documents' AS dataset, CAST(1 AS BIGINT) AS n_files, count(*) > 0 AS has_size FROM documents
+UNION ALL SELECT 'events', 1, count(*) > 0 FROM events""")
 def size_mb(spark, sf):
-    return profiling.size_mb(I.table(spark, sf, "documents"))
+    """Files of two tables (one each at the scale that is compared) and whether they hold anything."""
+    report = None
+    for name in ("documents", "events"):
+        sizes = profiling.size_mb(spark, f"{sf}/{name}.parquet")
+        part = sizes.select(F.lit(name).alias("dataset"), "n_files", (F.col("size_mb") > 0).alias("has_size"))
+        report = part if report is None else report.unionByName(part)
+    return report
+
+
+def _profile_sql(lengths: str, keys: str) -> str:
+    """Statistics as SQL over a CTE ``lengths`` with the keys, text and t."""
+    return f"""{lengths} SELECT {keys}, text, count(*) AS n_rows, count(*) AS n_tokenized, false AS is_estimate,
+  CAST(sum(t) AS BIGINT) AS total_tokens_in_sample, CAST(sum(t) AS BIGINT) AS est_total_tokens, round_even(avg(t), 1) AS avg,
+  min(t) AS min, max(t) AS max, median(t) AS median, true AS has_size FROM lengths GROUP BY ALL"""
+
+
+def _profiled(report: DataFrame) -> DataFrame:
+    return report.select(
+        "dataset", "split", "text", "n_rows", "n_tokenized", "is_estimate", "total_tokens_in_sample", "est_total_tokens", "avg",
+        "min", "max", "median", (F.col("size_mb") > 0).alias("has_size"),
+    )
+
+
+@query(_profile_sql(_with(I.PREF_SQL) + f""", ranked AS (SELECT *, row_number() OVER (ORDER BY {ORDER_SQL.format('qa_id')}) AS rn, count(*) OVER () AS n FROM pref),
+parts AS (SELECT *, CASE WHEN rn <= ceil(ceil(n * 0.25) * 0.25) THEN 'validation' WHEN rn <= ceil(n * 0.25) THEN 'test' ELSE 'train' END AS split FROM ranked),
+lengths AS (SELECT split, 'prompt' AS text, {TOKENS_SQL.format('prompt')} AS t FROM parts UNION ALL SELECT split, 'chosen', {TOKENS_SQL.format('chosen')} FROM parts
+  UNION ALL SELECT split, 'rejected', {TOKENS_SQL.format('rejected')} FROM parts)""", "'dpo_data' AS dataset, split"))
+def profile_dpo(spark, sf):
+    """Preference pairs stored in splits, then all statistics of their three texts."""
+    pairs = I.pref(spark, sf).select("qa_id", "prompt", "chosen", "rejected")
+    path = writers.write_splits(splits.split_exact(pairs, "qa_id"), scratch_dir(spark, "dpo"))
+    return _profiled(jobs.profile_datasets(spark, {"dpo_data": path}, "qa_id", {"dpo_data": ["prompt", "chosen", "rejected"]}))
+
+
+@query(_profile_sql(_with(I.QA_SQL) + f""", texts AS (SELECT concat({USER_SQL.format('question')}, answer, '<|im_end|>') AS s FROM qa),
+lengths AS (SELECT 'text' AS text, {TOKENS_SQL.format('s')} AS t FROM texts)""", "'qa_data' AS dataset, CAST(NULL AS VARCHAR) AS split"))
+def profile_raw(spark, sf):
+    """A stored table without splits and without text: formatted, then profiled as a whole."""
+    path = writers.write_table(I.qa(spark, sf).select("qa_id", "question", "answer"), scratch_dir(spark, "raw"))
+    return _profiled(jobs.profile_datasets(spark, {"qa_data": path}, "qa_id"))
+
+
+@query(f"""WITH lengths AS (SELECT lang, len(regexp_extract_all(text, '[\\p{{L}}\\p{{M}}\\p{{Nd}}_]+|[^\\p{{L}}\\p{{M}}\\p{{Nd}}_\\s]+')) AS t FROM documents)
+""" + _stats_sql("lengths", "count(*)"))
+def token_stats_tokenizer(spark, sf):
+    """Token statistics by a tokenizer that is loaded on the workers."""
+    tokens = tokenizer_count("text", "words and marks", split_tokenizer)
+    return profiling.token_stats(I.table(spark, sf, "documents"), "text", "doc_id", ("lang",), tokens=tokens)
 
 
 # ------------------------------------------------------------------------------ run logs
@@ -632,6 +682,14 @@ def run_curves(spark, sf):
     return runlogs.run_curves(I.runlog(spark, sf))
 
 
+@query(_with(I.RUNLOG_SQL) + """SELECT stage, step, max(value) FILTER (WHERE metric = 'loss') AS "rewards/chosen",
+  max(value) FILTER (WHERE metric = 'eval_loss') AS "rewards/rejected", CAST(NULL AS DOUBLE) AS "rewards/margins" FROM series GROUP BY ALL""")
+def reward_curves(spark, sf):
+    """The reward series of a run: one row per step."""
+    name = F.when(F.col("metric") == "loss", "rewards/chosen").otherwise("rewards/rejected")
+    return runlogs.run_curves(I.runlog(spark, sf).withColumn("metric", name), runlogs.REWARD_METRICS)
+
+
 @query(_with(I.RUNLOG_SQL) + """SELECT stage, arg_min(step, (value, step)) FILTER (WHERE metric = 'eval_loss') AS best_step,
   min(value) FILTER (WHERE metric = 'eval_loss') AS best_eval_loss, max(step) FILTER (WHERE metric = 'eval_loss') AS last_eval_step,
   max(step) AS latest_step FROM series GROUP BY stage""")
@@ -682,7 +740,7 @@ def questions_jsonl(spark, sf):
 @query(_with(I.CACHE_SQL) + f"SELECT {CACHE_ROW} FROM cache")
 def cache_jsonl(spark, sf):
     path = scratch_dir(spark, "cache")
-    log = I.response_log(spark, sf).repartitionByRange(4, "seq").sortWithinPartitions("seq")
+    log = I.response_log(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq")
     writers.append_jsonl(log.select("query", "response"), path)
     return _flat(readers.read_cache(spark, path))
 
@@ -704,7 +762,7 @@ def runlog_text(spark, sf):
         "event_type", F.col("f.event_id").alias("event_id"), F.lit(0).alias("o"),
         F.concat(F.date_format("f.ts", readers.TIMESTAMP_FORMAT), F.lit(" - INFO - Training started | steps=1")).alias("line"),
     )
-    lines = steps.unionByName(starts).repartition(8, "event_type").sortWithinPartitions("event_type", "event_id", "o")
+    lines = steps.unionByName(starts).repartition("event_type").sortWithinPartitions("event_type", "event_id", "o")
     lines.select("line", "event_type").write.partitionBy("event_type").text(path)
     stage = F.regexp_extract("file", "event_type=([^/]+)/", 1)
     return readers.read_runlog(spark, path).select(stage.alias("stage"), "session", "step", "metric", "value")
@@ -802,7 +860,7 @@ def pref_from_models(spark, sf):
 @query(_with(I.CACHE_SQL) + f"SELECT {CACHE_ROW} FROM cache")
 def stream_cache_upsert(spark, sf):
     base = scratch_dir(spark, "stream-cache")
-    log = I.response_log(spark, sf).repartitionByRange(4, "seq").sortWithinPartitions("seq")
+    log = I.response_log(spark, sf).repartitionByRange("seq").sortWithinPartitions("seq")
     writers.append_jsonl(log.select("query", "response"), f"{base}/in")
     return _flat(incremental.stream_cache_upsert(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint"))
 

@@ -12,7 +12,7 @@ from qaloom.operators.enrich import Enrichment
 from qaloom.operators.formats import apply_format
 from qaloom.operators.generate import sample_questions
 from qaloom.operators.splits import split_table
-from qaloom.sources.readers import has_splits, number_questions, read_cache, read_questions, read_splits, resolve, source_version
+from qaloom.sources.readers import has_splits, number_questions, read_cache, read_columnar, read_questions, read_splits, resolve, source_version
 from qaloom.sources.writers import (
     recorded_version, stage_resume, write_audit_json, write_csv, write_jsonl, write_splits, write_table,
 )
@@ -95,16 +95,28 @@ def build_preference_dataset(pairs: DataFrame, out: str, threshold: float = pref
     return prefs.drop_counts(audit)
 
 
-def profile_datasets(spark: SparkSession, paths: dict[str, str], id_col: str, text: str = "text",
+def profile_datasets(spark: SparkSession, paths: dict[str, str], id_col: str, texts: dict[str, list[str]] | None = None,
                      cap: int | None = None) -> DataFrame:
-    """Per stored dataset and split: path, rows, columns, files, size and token statistics."""
+    """Per stored dataset, split and text: path, columns, files, size and token statistics.
+
+    ``texts`` names the text columns to profile per dataset; by default it is ``text``, which is made by the dataset's
+    format where a table lacks it. Tables without splits have one line with a null split.
+    """
     report = None
     for name, path in paths.items():
-        df = read_splits(spark, path)
-        tokens = profiling.token_stats(df, text, id_col, ("split",), cap)
-        part = tokens.join(profiling.size_mb(df, "split"), "split").withColumns({
-            "dataset": F.lit(name), "path": F.lit(path), "columns": F.array(*[F.lit(c) for c in df.columns]),
-        })
+        df = read_columnar(spark, path)
+        columns = F.array(*[F.lit(c) for c in df.columns])
+        wanted = (texts or {}).get(name, ["text"])
+        if wanted == ["text"] and "text" not in df.columns:
+            df = apply_format(df, name)
+        by = ("split",) if "split" in df.columns else ()
+        stats, sizes = profiling.profile_texts(df, wanted, id_col, by, cap), profiling.size_mb(spark, path, *by)
+        if by:
+            part = stats.join(sizes, "split")
+        else:
+            whole = {c: sizes.select(c).scalar() for c in ("n_files", "size_mb")}
+            part = stats.withColumns({"split": F.lit(None).cast("string"), **whole})
+        part = part.withColumns({"dataset": F.lit(name), "path": F.lit(path), "columns": columns})
         report = part if report is None else report.unionByName(part)
     if report is None:
         raise ValueError("no datasets given")

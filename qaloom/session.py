@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+ARROW_BYTES = str(16 << 20)
+
+
 def build_session(app: str = "qaloom", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Session with the settings the jobs are written for.
 
@@ -20,8 +23,9 @@ def build_session(app: str = "qaloom", master: str | None = None, shuffle_partit
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # long texts: keep one Arrow batch to a few megabytes
+        # one Arrow batch holds at most so many rows and, of long texts, about so many bytes
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     )
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")

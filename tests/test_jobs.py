@@ -2,9 +2,10 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from qaloom.operators import prefs
-from qaloom.operators.batches import map_batches
+from qaloom.operators.batches import map_batches, map_text, map_texts
 from qaloom.operators.dialogs import pairs_from_dialog
 from qaloom.operators.joins import zip_by_id
 from qaloom.operators.splits import split_counts, split_exact
@@ -61,6 +62,28 @@ def test_a_batch_function_must_answer_every_row(spark):
         prefs.embed_sides(spark.createDataFrame([("a", "b")], "chosen string, rejected string"), lambda texts: []).collect()
 
 
+def test_only_texts_go_to_the_model_and_large_ones_fit(spark):
+    texts = spark.range(20).select("id", F.repeat(F.lit("abcde"), 1 << 20).alias("text"), F.lit("other").alias("wide"))
+    got = map_text(texts, "text", "n", lambda part: [float(len(t)) for t in part], 3, T.DoubleType())
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "MapInPandas" not in plan
+    call = plan.split("ArrowEvalPython [")[1].split("]")[0]
+    assert "other" not in call and "id#" not in call
+    assert [r.n for r in got.select("n").distinct().collect()] == [5.0 * (1 << 20)]
+    both = map_texts(texts, {"a": "text", "b": "wide"}, lambda part: [float(len(t)) for t in part], 16, T.DoubleType())
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") == 1
+    with pytest.raises(ValueError):
+        map_text(texts, "text", "n", len, 0, T.DoubleType())
+
+
+def test_unsplit_tables_are_formatted_and_profiled(spark, tmp_path):
+    qa = spark.createDataFrame([(i, f"q {i}", "an answer") for i in range(12)], "id int, question string, answer string")
+    qa.write.parquet(str(tmp_path / "raw"))
+    row = jobs.profile_datasets(spark, {"qa_data": str(tmp_path / "raw")}, "id", cap=5).collect()[0]
+    assert (row.split, row.text, row.n_rows, row.n_tokenized, row.is_estimate) == (None, "text", 12, 5, True)
+    assert row["columns"] == ["id", "question", "answer"] and row.n_files >= 1
+
+
 def test_curve_reports(spark, tmp_path):
     rows = [("s", 1, 10, "loss", 2.0), ("s", 1, 10, "eval_loss", 1.5), ("s", 1, 20, "eval_loss", 1.2)]
     jobs.write_curve_reports(spark.createDataFrame(rows, "stage string, session long, step long, metric string, value double"), str(tmp_path))

@@ -46,5 +46,12 @@ def test_join_by_id_and_unmatched(spark):
     for other in (b, b.where("id < 5")):
         with pytest.raises(Exception, match="tables differ in id"):
             joins.zip_by_id("id", a, other).collect()
+    empty = b.limit(0)
+    for tables in ((a, empty), (empty, a), (a, a.select("id"), empty), (a, spark.createDataFrame([(None, "n")], "id long, z string"))):
+        with pytest.raises(Exception, match="tables differ in id"):
+            joins.zip_by_id("id", *tables).collect()
+        with pytest.raises(Exception, match="tables differ in id"):
+            joins.zip_by_id("id", *tables).count()
+    assert joins.zip_by_id("id", empty, empty.select("id")).count() == 0
     assert joins.zip_by_id("id", a, a.select("id", F.lit(1).alias("z")), b.select(F.col("id") - 2, "y").toDF("id", "y")).count() == 4
     assert sorted(tuple(r) for r in joins.unmatched("id", a, b).collect()) == [(0, "right"), (1, "right"), (4, "left"), (5, "left")]

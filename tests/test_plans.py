@@ -88,3 +88,9 @@ def test_winners_are_found_on_narrow_rows(spark, name, wide):
             below = next(n for n in plan[i + 1:] if n.startswith(("Project", "HashAggregate", "FileScan", "ColumnarToRow")))
             carried.append(bool(re.search(rf"[\[ ]{wide}#\d+[,\]]|AS {wide}#", below)))
     assert sum(carried) <= 1, plan
+
+
+@pytest.mark.parametrize("name", ["split_rows", "split_counts", "shuffle_limit_docs", "global_rank_docs", "sample_cap_docs", "profile_rollup"])
+def test_rows_are_computed_twice_at_most(spark, name):
+    """Once for the stored position index, once for the result."""
+    assert plan_of(spark, name).count(f"{SF}/documents.parquet") == 1

@@ -76,5 +76,58 @@ def test_size_counts_each_file_once(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).repartition(3).write.parquet(path)
     bytes_on_disk = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
-    row = profiling.size_mb(spark.read.parquet(path)).collect()[0]
+    row = profiling.size_mb(spark, path).collect()[0]
     assert (row.n_files, row.size_mb) == (3, round(bytes_on_disk / 1e6, 2))
+    plan = profiling.size_mb(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<length:bigint>" in plan and "parquet [" not in plan
+
+
+def test_sizes_per_split(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).withColumn("split", F.when(F.col("id") < 10, "test").otherwise("train")).repartition(2).write.partitionBy("split").parquet(path)
+    got = {r.split: r.n_files for r in profiling.size_mb(spark, path, "split").collect()}
+    assert got == {"train": 2, "test": 2}
+
+
+def test_several_texts_in_one_pass_and_merged(spark):
+    rng = random.Random(2)
+    rows = [(i, "ab"[i % 2], *(" ".join(["w"] * rng.randint(0, 30)) for _ in range(3))) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, g string, prompt string, chosen string, rejected string")
+    names = ["prompt", "chosen", "rejected"]
+    whole = profiling.profile_texts(df, names, "id", ("g",))
+    counts = {c: profiling.token_count(F.col(c)) for c in names}
+    parts = [profiling.store_lengths(profiling.length_table(df.where(w), counts, ("g",))) for w in ("id < 50", "id >= 50")]
+    merged = profiling.text_stats(profiling.merge_lengths(*parts), names, ("g",))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, merged.collect())) and whole.count() == 6
+    for r in whole.collect():
+        lengths = [len(x[2 + names.index(r.text)].split()) for x in rows if x[1] == r.g]
+        assert (r.n_rows, r.total_tokens_in_sample, r.est_total_tokens, r.median, r.avg) == (
+            100, sum(lengths), sum(lengths), statistics.median(lengths), round(statistics.mean(lengths), 1))
+    sampled = {(r.g, r.text): r for r in profiling.profile_texts(df, names, "id", ("g",), cap=40).collect()}
+    assert len(sampled) == 6 and all(r.is_estimate and r.n_tokenized == 40 and r.n_rows == 100 for r in sampled.values())
+    assert {(r.text, r.n_rows) for r in profiling.profile_texts(df.limit(0), names, "id").collect()} == {(n, 0) for n in names}
+
+
+def test_tokenizers_plug_in(spark):
+    import public_tokenizers
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from qaloom.functions import tokenizing
+
+    texts = ["Hello, world!  naïve_1 -- x", "", None, "日本語 テキスト", "a " * 300]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+    for file in ("byte_bpe_50k.json", "piece_bpe_32k.model"):
+        path = public_tokenizers.path(file)
+        got = {r.id: r.n for r in df.select("id", tokenizing.tokenizer_count("text", file, tokenizing.library_tokenizer(path), 2).alias("n")).collect()}
+        if file.endswith(".json"):
+            encode = lambda t: Tokenizer.from_file(path).encode(t, add_special_tokens=False).ids  # noqa: E731, B023
+        else:
+            encode = sentencepiece.SentencePieceProcessor(model_file=path).encode
+        assert got == {i: len(encode(t or "")) for i, t in enumerate(texts)}
+    plan = df.withColumn("wide", F.lit("x")).select("id", "wide", tokenizing.tokenizer_count("text", "w", tokenizing.split_tokenizer).alias("n"))
+    assert {r.id: r.n for r in plan.collect()}[0] == 7
+
+
+def test_empty_histogram(spark):
+    assert profiling.histogram(texts(spark, [1]).limit(0), "text").count() == 0
