@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CURVE_METRICS = ("loss", "eval_loss", "learning_rate")
@@ -17,9 +17,14 @@ def metric_rows(df: DataFrame, metrics: tuple[str, ...] = ("loss", "eval_loss"))
     return df.where(wanted)
 
 
+def _latest(df: DataFrame) -> Column:
+    """What orders the reports of one step: session, then time stamp (where there is one), then the larger value."""
+    return F.struct("session", *(["ts"] if "ts" in df.columns else []), "value")
+
+
 def last_session(df: DataFrame, key: tuple[str, ...] = ("stage",)) -> DataFrame:
     """One value per (key, step, metric): that of the last session that reported it."""
-    return df.groupBy(*key, "step", "metric").agg(F.max_by("value", "session").alias("value"))
+    return df.groupBy(*key, "step", "metric").agg(F.max(_latest(df))["value"].alias("value"))
 
 
 def run_curves(df: DataFrame, metrics: tuple[str, ...] = CURVE_METRICS, key: tuple[str, ...] = ("stage",)) -> DataFrame:
@@ -30,7 +35,7 @@ def run_curves(df: DataFrame, metrics: tuple[str, ...] = CURVE_METRICS, key: tup
 
     def latest(metric: str):
         is_metric = F.col("metric") == metric
-        return F.max_by(F.when(is_metric, F.col("value")), F.when(is_metric, F.col("session"))).alias(metric)
+        return F.max(F.when(is_metric, _latest(df)))["value"].alias(metric)
 
     return df.where(F.col("metric").isin(*metrics)).groupBy(*key, "step").agg(*[latest(m) for m in metrics])
 
@@ -90,7 +95,7 @@ def session_counts(df: DataFrame, key: tuple[str, ...] = ("stage",)) -> DataFram
 def run_summary(df: DataFrame, key: tuple[str, ...] = ("stage",)) -> DataFrame:
     """First, last and mean loss, first, best and last evaluation loss, and run time in seconds."""
     series = df.groupBy(*key, "step", "metric").agg(
-        F.max_by("value", "session").alias("value"), F.min("ts").alias("_from"), F.max("ts").alias("_to")
+        F.max(_latest(df))["value"].alias("value"), F.min("ts").alias("_from"), F.max("ts").alias("_to")
     )
 
     def at(pick, metric: str):

@@ -811,6 +811,31 @@ def load_text_dataset(spark, sf):
     return jobs.load_dataset(spark, "text_data", where, {"text_data": {"test": 100, "validation": 50}}, "doc_id", only_test=True).select("text")
 
 
+def _resolved_sql(origin: str) -> str:
+    return f"SELECT '{origin}' AS origin, lang, count(*) AS n_rows, CAST(sum(length(text)) AS BIGINT) AS n_chars FROM documents GROUP BY lang"
+
+
+def _resolved(spark, places: dict[str, str]) -> DataFrame:
+    df, origin = readers.resolve(spark, "text_data", {"text_data": places})
+    counts = df.groupBy("lang").agg(F.count("*").alias("n_rows"), F.sum(F.length("text")).alias("n_chars"))
+    return counts.select(F.lit(origin).alias("origin"), "lang", "n_rows", "n_chars")
+
+
+@query(_resolved_sql("mapped"))
+def load_mapped(spark, sf):
+    """Stored splits are found before the raw table."""
+    mapped = writers.write_splits(split_rows(spark, sf).join(I.table(spark, sf, "documents").select("doc_id", "lang"), "doc_id"), scratch_dir(spark, "mapped"))
+    return _resolved(spark, {"mapped": mapped, "raw": f"{sf}/documents.parquet"})
+
+
+@query(_resolved_sql("published"))
+def load_published(spark, sf):
+    """A published snapshot is used where there is neither a mapped nor a raw table."""
+    base = scratch_dir(spark, "published")
+    writers.publish_snapshot(I.table(spark, sf, "documents"), base, "v1")
+    return _resolved(spark, {"mapped": f"{base}/none", "raw": f"{base}/none", "published": f"{base}/version=v1"})
+
+
 @query(_with(RANKED_DOCS) + f""", formatted AS (
   SELECT {SPLIT_SQL} AS split, {TOKENS_SQL.format("concat(text, '<|endoftext|>')")} AS t FROM ranked)
 SELECT 'text_data' AS dataset, split, 'doc_id,lang,n_chars,source,split,text' AS columns, count(*) AS n_rows, count(*) AS n_tokenized,

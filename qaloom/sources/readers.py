@@ -37,11 +37,18 @@ def has_splits(spark: SparkSession, path: str) -> bool:
     return all(path_exists(spark, f"{path}/{part}") for part in ("_SUCCESS", *[f"split={s}" for s in SPLITS]))
 
 
+def _location(spark: SparkSession, table: str) -> str | None:
+    """Folder of a catalog table's files."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    return described["data_type"] if described else None
+
+
 def source_version(spark: SparkSession, place: str) -> str:
-    """Changes whenever the source does: a digest of names, sizes and times of its files (their contents are
-    not read), or of the rows of a catalog table."""
-    if "/" in place:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place)
+    """Changes whenever the source does: a digest of names, sizes and times of its files, those of a catalog table
+    included; their contents are not read. A catalog table without files (a view) is told by its rows."""
+    location = place if "/" in place else _location(spark, place)
+    if location:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(location)
         rows = files.select("path", "length", "modificationTime")
     else:
         rows = spark.table(place)
