@@ -25,6 +25,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not use, whatever the case of its names."""
+    taken, name = {c.lower() for c in df.columns}, f"_{base}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only id and whole text (null: empty, as UTF-8 bytes), whatever other columns there are."""
     return docs.select(

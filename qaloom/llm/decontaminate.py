@@ -101,19 +101,24 @@ def _edited(words: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def repetitions(items: list[np.ndarray], window: int, share: float, recall: float, most: int = 96) -> int:
-    """How many hashes a class needs: the chance of one hash is measured on its items with all allowed edits made."""
+def repetitions(items: list[np.ndarray], window: int, share: float, recall: float) -> int:
+    """How many hashes a class needs: the chance of one hash is measured on its items with all allowed edits made.
+
+    The edited copies are followed by other words, as ``search`` walks on into them. Rounds are added until there are
+    enough hits to trust their share (less one standard error), so long items get as many hashes as they need.
+    """
     rng = np.random.default_rng(7)
-    hits = trials = 0
+    hits = trials = rounds = 0
     some = items[:: max(1, len(items) // 16)]
-    for r in range(24):
-        at, seed = sample_steps(window, r + 10_000), r + 10_000
-        others = [_edited(w, edits_allowed(len(w), share), rng) for w in some]
+    while rounds < 24 or hits < 60 and rounds < 600:
+        at, seed = sample_steps(window, rounds + 10_000), rounds + 10_000
+        others = [np.concatenate([_edited(w, edits_allowed(len(w), share), rng), rng.integers(1, 1 << 62, 2 * len(w) + 2).astype(np.uint64)]) for w in some]
         one, two = (embed_samples(*_joined(texts), at, seed)[1][-1] for texts in (some, others))
-        hits += int((one == two).sum())
-        trials += len(some)
-    chance = min(max(hits / max(trials, 1), 0.05), 1 - 1e-9)
-    return min(most, max(4, math.ceil(math.log(1 - recall) / math.log(1 - chance))))
+        hits, trials, rounds = hits + int((one == two).sum()), trials + len(some), rounds + 1
+    chance = max(hits, 0.5) / trials
+    chance -= math.sqrt(chance * (1 - chance) / trials)
+    chance = min(max(chance, 0.25 / trials), 1 - 1e-9)
+    return max(4, math.ceil(math.log(1 - recall) / math.log(1 - chance)))
 
 
 def sample_steps(window: int, seed: int) -> list[int]:
@@ -274,7 +279,11 @@ def without_matches(
     docs: DataFrame, benchmark: DataFrame, share: float = 0.1, *, block_size: int = 20_000, recall: float = RECALL,
     text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs``, with all columns, in whose text no item is found; one filter per block of items."""
+    """The rows of ``docs``, with all columns, in whose text no item is found; one filter per block of items.
+
+    Null and empty texts hold no item and stay; rows without an id and repeated rows are judged each for themselves; an empty
+    benchmark leaves all rows.
+    """
     for prepared in _prepared(benchmark, share, recall, block_size, item_col, item_text):
         docs = docs.where(_clean(docs.sparkSession, docs[text_col], prepared, share))
     return docs

@@ -13,7 +13,7 @@ from qaloom.llm.common import id_text, store
 from qaloom.llm.hashing import MARK_BYTES, blocks, hashed_words, pair
 
 BUCKETS = 1 << 15
-_STEP = 1 << 16  # values of the selection key told apart in one pass
+_PARTS = 1 << 16  # parts of the keys' range told apart in one pass
 
 
 def _ngrams(group: list[bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,33 +79,42 @@ def gumbel(seed: int, *keys: Column) -> Column:
     return -F.log(-F.log(uniform))
 
 
-def top_k(keyed: DataFrame, k: int) -> DataFrame:
-    """Adds ``kept`` for the ``k`` rows with the greatest ``key`` (double, no nulls), and all that tie with the last.
+def kth_greatest(keyed: DataFrame, k: int) -> float | None:
+    """The k-th greatest value of ``key`` (double, finite, no nulls), or None where there are fewer rows.
 
-    The k-th key is found by counting: the keys, mapped to integers in the same order, are told apart 16 bits at a
-    time, so four counts over at most 65,536 values stand for a global sort.
+    Found by counting: the range of the values is cut into 65,536 equal parts, the part with the k-th value is cut again,
+    and so on until it holds one value. A part is described by its own least and greatest value, so the first and the last
+    value of a range never stay together and every round gets closer, however far the values lie apart.
     """
-    bits = F.expr("CAST(key AS DOUBLE)")
-    places = F.round((F.least(F.greatest(bits, F.lit(-1e6)), F.lit(1e6)) + 1e6) * float(1 << 26)).cast("bigint")  # 47 bits
-    ordered = keyed.withColumn("_order", places)
-    if k <= 0:
-        return ordered.withColumn("kept", F.lit(False)).drop("_order")
-    low, wanted = 0, k
-    for shift in (32, 16, 0):
-        within = ordered.where(F.col("_order") >= low)
-        if shift < 32:
-            within = within.where(F.col("_order") < low + (1 << (shift + 16)))
-        counts = within.groupBy(F.shiftright(F.col("_order") - low, shift).alias("v")).agg(F.count("*").alias("n"))
+    low, high, wanted = None, None, k
+    while True:
+        if low is None:
+            part, within = F.lit(0), keyed
+        else:
+            within = keyed.where(F.col("key").between(low, high))
+            scale = 0.25 if max(abs(low), abs(high)) > 1e300 else 1.0  # the range itself may exceed a double
+            share = (F.col("key") * scale - low * scale) / (high * scale - low * scale)
+            part = F.least(F.floor(share * _PARTS).cast("int"), F.lit(_PARTS - 1))
+        counts = within.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
         found = None
-        for row in counts.orderBy(F.desc("v")).collect():
+        for row in sorted(counts.collect(), key=lambda r: -r.part):
             if row.n >= wanted:
-                found = row.v
+                found = row
                 break
             wanted -= row.n
-        if found is None:  # fewer than k rows
-            return ordered.withColumn("kept", F.lit(True)).drop("_order")
-        low += found << shift
-    return ordered.withColumn("kept", F.col("_order") >= low).drop("_order")
+        if found is None:
+            return None
+        if found.low == found.high:
+            return found.low
+        low, high = found.low, found.high
+
+
+def top_k(keyed: DataFrame, k: int) -> DataFrame:
+    """Adds ``kept`` for the ``k`` rows with the greatest ``key`` (double, finite, no nulls), and all that tie with the last."""
+    if k <= 0:
+        return keyed.withColumn("kept", F.lit(False))
+    last = kth_greatest(keyed, k)
+    return keyed.withColumn("kept", F.lit(True) if last is None else F.col("key") >= last)
 
 
 def resample(

@@ -7,6 +7,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qaloom.llm.common import fresh_name
+
 TABLE_SIZE = 65_537  # a prime, over a thousand slots for each of up to 64 shards
 
 
@@ -75,9 +77,18 @@ def shard_sizes(assigned: DataFrame) -> DataFrame:
     return assigned.groupBy("shard", "shard_name").agg(F.count("*").alias("n_docs"), F.sum("n_bytes").alias("n_bytes"))
 
 
-def write_shards(docs: DataFrame, shards: list[str], path: str, *, id_col: str = "doc_id", size: int = TABLE_SIZE) -> None:
-    """Writes the rows of ``docs`` with all their columns to one folder ``_shard=<name>`` per shard, without a shuffle."""
-    slot = slot_of(docs[id_col].cast("string"), size)
-    table = slot_table(docs.sparkSession, shards, size).select(F.col("slot").alias("_slot"), F.col("shard_name").alias("_shard"))
-    placed = docs.withColumn("_slot", slot).join(F.broadcast(table), "_slot").drop("_slot")
-    placed.write.partitionBy("_shard").parquet(path)
+def write_shards(
+    docs: DataFrame, shards: list[str], path: str, *, id_col: str = "doc_id", text_col: str = "text", size: int = TABLE_SIZE
+) -> str:
+    """Writes the rows of ``docs`` with all their columns to one folder per shard, without a shuffle.
+
+    Rows go where ``assign`` places them: by id, and rows without an id by their text. The folders are named
+    ``<column>=<shard name>``; the column is returned, ``_shard`` unless ``docs`` has one of that name. An empty table
+    leaves no folders.
+    """
+    slot, shard = fresh_name(docs, "slot"), fresh_name(docs, "shard")
+    key = F.coalesce(docs[id_col].cast("string"), docs[text_col])
+    table = slot_table(docs.sparkSession, shards, size).select(F.col("slot").alias(slot), F.col("shard_name").alias(shard))
+    placed = docs.withColumn(slot, slot_of(key, size)).join(F.broadcast(table), slot).drop(slot)
+    placed.write.partitionBy(shard).parquet(path)
+    return shard

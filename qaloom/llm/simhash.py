@@ -6,12 +6,13 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import id_text, store
+from qaloom.llm.common import fresh_name, id_text, store
 from qaloom.llm.components import components
 
 SHINGLE = 3
@@ -106,23 +107,48 @@ def links(prints: DataFrame, crowded: int = CROWDED) -> DataFrame:
     return found.unionByName(shared.select(F.col("fp").alias("a"), "b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id, n_links`` for every row.
-
-    Equal fingerprints are one vertex, so copies are never paired. ``component_id`` is the least id reachable over
-    links of at most 2 bits, ``n_links`` the number of links found between the row's fingerprint and other ones (a
-    crowded fingerprint has few links to its neighbours' least, not to all of them). Null or wordless texts have
-    fingerprint zero and link like any other. Rows with a null id get the component of their fingerprint (null if no
-    row there has an id); repeated rows are returned as often as they come; other columns are ignored.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of the rows, and of each distinct one its group (``root``) and the group's least id."""
     rows = store(fingerprints(docs, id_col=id_col, text_col=text_col), "prints")
     prints = store(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct_prints")
     found = store(links(prints.select("fp")), "near")
     roots = components(found)
-    degree = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).groupBy("fp").agg(F.count("*").alias("n_links"))
     grouped = prints.join(roots.withColumnRenamed("vertex", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = grouped.join(least, "root").join(degree, "fp", "left").select("fp", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return rows.join(labels, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "n_links"
-    )
+    return rows, grouped.join(least, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row.
+
+    Equal fingerprints are one vertex, so copies are never paired. ``component_id`` is the least id reachable over
+    links of at most 2 bits. Null or wordless texts have fingerprint zero and link like any other. Rows with a null id get
+    the component of their fingerprint (null if no row there has an id); repeated rows are returned as often as they come;
+    other columns are ignored.
+    """
+    rows, labels = _grouped(docs, id_col, text_col)
+    return rows.join(labels, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _fingerprint_of(text: Column) -> Column:
+    @F.pandas_udf("bigint")
+    def compute(bodies: pd.Series) -> pd.Series:
+        bits = np.fromiter((fingerprint(b or b"") for b in bodies), np.uint64, len(bodies))
+        return pd.Series(bits.view(np.int64))
+
+    return compute(text.cast("binary"))
+
+
+def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, of which one per group of near duplicates: that with the least id.
+
+    Of several rows with the group's least id one stays, so repeated rows go. Rows that only share their id are judged by
+    their texts: different groups keep a row each. Rows without an id all stay. Null and wordless texts are one group.
+    """
+    rows, labels = _grouped(docs, id_col, text_col)
+    least = rows.join(labels, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("_id"), F.min("fp").alias("_print"))
+    mark = fresh_name(docs, "print")
+    marked = docs.where(docs[id_col].isNotNull()).withColumn(mark, _fingerprint_of(docs[text_col]))
+    same = (marked[id_col].cast("bigint") == least["_id"]) & (marked[mark] == least["_print"])
+    kept = marked.join(least, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    return kept.unionByName(docs.where(docs[id_col].isNull()))

@@ -12,8 +12,9 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import store
+from qaloom.llm.common import fresh_name, store
 from qaloom.llm.hashing import WORD_BYTES, blocks, hashed_words, pair
+from qaloom.llm.hashing import spans as word_spans
 
 WINDOW = 20  # words
 GRAM = 6  # words of an anchor
@@ -214,6 +215,16 @@ def anchors(rows: DataFrame) -> DataFrame:
 _SEGMENT = "route bigint, content bigint, ord bigint, tie bigint, start int, words binary, copies bigint"
 
 
+FLUSH = 20_000  # rows of one batch
+HELD = 32 << 20  # bytes of distinct segments that a task holds before it sends them
+
+
+def _parts(seen: dict) -> Iterator[list[tuple]]:
+    items = [(*k, *v) for k, v in seen.items()]
+    for i in range(0, len(items), FLUSH):
+        yield items[i : i + FLUSH]
+
+
 def _contents(squeezed: DataFrame, spans: DataFrame) -> DataFrame:
     """The segments ``spans`` (per text) as occurrences (``words`` null) and, once per task, with their words.
 
@@ -248,14 +259,15 @@ def _contents(squeezed: DataFrame, spans: DataFrame) -> DataFrame:
                             seen[route, content] = (ord_, tie, start, data, 1)
                         else:
                             seen[route, content] = (*min(before[:3], (ord_, tie, start)), before[3], before[4] + 1)
+                        if len(out) >= FLUSH:
+                            yield batch_of(out)
+                            out = []
+                        if held > HELD:
+                            yield from (batch_of(part) for part in _parts(seen))
+                            seen, held = {}, 0
                 if out:
                     yield batch_of(out)
-                if held > 32 << 20:
-                    yield batch_of([(*k, *v) for k, v in seen.items()])
-                    seen, held = {}, 0
-        items = [(*k, *v) for k, v in seen.items()]
-        for i in range(0, len(items), 20_000):
-            yield batch_of(items[i : i + 20_000])
+        yield from (batch_of(part) for part in _parts(seen))
 
     return joined.mapInArrow(extract, _SEGMENT)
 
@@ -318,6 +330,16 @@ def _merged(spans: list[dict]) -> list[tuple[int, int]]:
     return out
 
 
+def _cut(body: bytes, removed: list[tuple[int, int]]) -> bytes:
+    """The text without the words of some spans and the white space behind them; all else keeps its layout."""
+    starts, _ = word_spans(np.frombuffer(body, np.uint8), WORD_BYTES)
+    kept, at = [], 0
+    for first, end in removed:
+        kept.append(body[at : int(starts[first])])
+        at = int(starts[end]) if end < len(starts) else len(body)
+    return b"".join([*kept, body[at:]])
+
+
 def _finish(squeezed: DataFrame, removed: DataFrame, with_text: bool) -> DataFrame:
     joined = squeezed.join(removed, ["ord", "tie"], "left").select("doc_id", "packed", "covered", "rest")
     rest = joined.schema["rest"].dataType.simpleString()
@@ -338,7 +360,7 @@ def _finish(squeezed: DataFrame, removed: DataFrame, with_text: bool) -> DataFra
                 cut.append(len(words) - len(kept))
                 digests.append(hashlib.sha256(text).hexdigest())
                 spans.append([{"first": f, "end": e} for f, e in merged])
-                texts.append(None if not with_text else text if merged else body)
+                texts.append(None if not with_text else _cut(body, merged) if merged else body)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(cut, pa.int64()), pa.array(digests, pa.string()),
                  pa.array(spans, _SPANS), pa.array(texts, pa.binary()), batch.column(3)],
@@ -355,8 +377,8 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """``doc_id, n_words, n_removed, kept_sha256, removed, kept_text, rest``: texts without passages that occur earlier.
 
     Removed are the words of every window of 20 words that also starts earlier, in a document with a smaller id or
-    further up in the same one. ``removed`` lists the spans of words; ``kept_text`` (if asked for) is the kept words, or the
-    text as it was where nothing is removed; ``rest`` is a struct of the columns named in ``carry``.
+    further up in the same one. ``removed`` lists the spans of words; ``kept_text`` (if asked for) is the text without
+    them, its other white space as it was; ``rest`` is a struct of the columns named in ``carry``.
 
     Windows are grouped into segments by an anchor that depends on the window alone, so all copies of a window are in
     one shard, and only segments whose anchor occurs again are looked at. Each shard is indexed (suffix order, last
@@ -387,3 +409,20 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     )
     covered = removed.groupBy("ord", "tie").agg(F.collect_list("span").alias("covered"))
     return _finish(_squeezed(rows), covered, with_text)
+
+
+def without_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The rows of ``docs``, with all columns, without passages that occur earlier; rows of which nothing is left go.
+
+    Texts keep their layout; null texts stay null. Where there is a ``length_col`` it becomes the length of what is left.
+    Repeated rows (equal id and text) are one document and all stay; rows without an id come last.
+    """
+    was_null = fresh_name(docs, "was_null")
+    others = tuple(c for c in docs.columns if c not in (id_col, text_col, length_col))
+    result = remove_repeats(docs.withColumn(was_null, docs[text_col].isNull()), id_col=id_col, text_col=text_col, with_text=True, carry=(*others, was_null))
+    left = result.where("n_removed = 0 OR n_removed < n_words")
+    text = F.when(~F.col("rest")[was_null], F.col("kept_text"))
+    columns = {c: F.col("rest")[c] for c in others} | {id_col: F.col("doc_id").cast(docs.schema[id_col].dataType), text_col: text}
+    if length_col in docs.columns:
+        columns[length_col] = F.length(text).cast(docs.schema[length_col].dataType)
+    return left.select(*[columns[c].alias(c) for c in docs.columns])

@@ -8,10 +8,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from qaloom.llm.common import id_text
+from qaloom.llm.hashing import mix
 
 GRAM = 5  # bytes
 BUCKETS = 1 << 18
@@ -112,53 +113,67 @@ def _select(rows: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray
     return np.sort(best[score[best] > 0])
 
 
-def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str], *, features: int = 2048, folds: int = 4) -> Chain:
-    """The chain from bucket sets and 0/1 labels (a column per category, in chain order).
-
-    A later model is trained on what the earlier ones say about rows they have not seen: each category but the last
-    is also fitted ``folds`` times without one fold, and predicts that fold. The models used for scoring are fitted
-    on all rows.
-    """
-    chosen = _select(rows, labels, features) if len(rows) else np.zeros(0, np.int64)
+def _narrowed(rows: list[np.ndarray], labels: np.ndarray, among: np.ndarray, features: int) -> tuple[np.ndarray, int, list[np.ndarray]]:
+    """Features chosen by the rows ``among`` alone: bucket -> feature, their number, and all rows in terms of them."""
+    chosen = _select([rows[j] for j in among], labels[among], features) if len(among) else np.zeros(0, np.int64)
     width = len(chosen)
     slot = np.full(BUCKETS, width, np.int32)
     slot[chosen] = np.arange(width)
-    kept = [s[s < width] for s in (slot[r] for r in rows)]
-    fold = np.arange(len(rows)) % folds
+    return slot, width, [s[s < width] for s in (slot[r] for r in rows)]
+
+
+def out_of_fold(rows: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, features: int = 2048) -> np.ndarray:
+    """For every category, what models that have not seen a row say about it, with the earlier categories' such values as
+    inputs. Everything about a fold's models, the choice of features included, comes from the other folds."""
+    views = []
+    for k in np.unique(fold).tolist():
+        inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        views.append((inside, outside, *_narrowed(rows, labels, inside, features)[1:]))
     seen = np.zeros((len(rows), 0))
+    for y in labels.T.astype(float):
+        out = np.full(len(rows), y.mean() if len(rows) else 0.0)
+        for inside, outside, width, kept in views:
+            if len(inside):
+                part = _fit([kept[j] for j in inside], seen[inside], y[inside], width)
+                z = _Rows([kept[j] for j in outside], width, np.column_stack([seen[outside], np.ones(len(outside))])).times(part)
+                out[outside] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        seen = np.column_stack([seen, out])
+    return seen
+
+
+def fit_chain(rows: list[np.ndarray], labels: np.ndarray, categories: list[str], fold: np.ndarray, *, features: int = 2048) -> Chain:
+    """The chain from bucket sets, 0/1 labels (a column per category, in chain order) and the rows' folds.
+
+    A later model is trained on what earlier ones, fitted without the row's fold, say about the row (``out_of_fold``), as
+    that is what it will get when it scores new texts. The models used for scoring are fitted on all rows.
+    """
+    slot, width, kept = _narrowed(rows, labels, np.arange(len(rows)), features)
+    unseen = out_of_fold(rows, labels[:, :-1], fold, features)
     chain = Chain(categories, slot, [], [], [])
     for i in range(len(categories)):
-        y = labels[:, i].astype(float)
-        w = _fit(kept, seen, y, width) if len(rows) else np.concatenate([np.zeros(width + i), [-30.0]])
+        w = _fit(kept, unseen[:, :i], labels[:, i].astype(float), width) if len(rows) else np.concatenate([np.zeros(width + i), [-30.0]])
         chain.weights.append(w[:width])
         chain.earlier.append(w[width:-1])
         chain.bias.append(float(w[-1]))
-        if i + 1 < len(categories):
-            out = np.zeros(len(rows))
-            for k in range(folds):
-                inside, outside = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-                if not len(inside) or not len(outside):
-                    continue
-                part = _fit([kept[j] for j in inside], seen[inside], y[inside], width)
-                z = _Rows([kept[j] for j in outside], width, np.column_stack([seen[outside], np.ones(len(outside))])).times(part)
-                out[outside] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            seen = np.column_stack([seen, out])
     return chain
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, categories: dict[str, str], *, max_rows: int = 6_000,
+    docs: DataFrame, labels: DataFrame, categories: dict[str, str], *, max_rows: int = 6_000, folds: int = 4,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> Chain:
     """Fits the chain on at most ``max_rows`` labelled documents, those with the least hash of their id.
 
-    ``categories``: name -> SQL condition over ``labels``, in chain order. Rows whose condition is null are not used.
-    The bound makes the sample's ids fit a broadcast and its features the driver.
+    ``categories``: name -> SQL condition over ``labels``, in chain order. Rows whose condition is null are not used; of
+    several labels or texts of one id one counts (the text with the least hash). Folds go by the id's hash. The bound makes
+    the sample's ids fit a broadcast and its features the driver: a row is at most its distinct buckets.
     """
     named = [F.expr(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())]
     truth = labels.select(labels[id_col].cast("bigint").alias("doc_id"), *named).dropna().dropDuplicates(["doc_id"])
     sample = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = id_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
+    labelled = id_text(docs, id_col, text_col).join(F.broadcast(sample), "doc_id")
+    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("body"), "body"))
+    rows = labelled.withColumn("nth", nth).where("nth = 1").drop("nth")
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +188,8 @@ def train(
     sets = got.column("buckets").combine_chunks()
     flat, ends = sets.flatten().to_numpy(), np.cumsum([len(s) for s in sets])
     y = np.column_stack([got.column(f"y{i}").to_numpy() for i in range(len(categories))])
-    return fit_chain(np.split(flat, ends[:-1]) if len(ends) else [], y, list(categories))
+    fold = (mix(got.column("doc_id").to_numpy().astype(np.int64).view(np.uint64)) % np.uint64(folds)).astype(np.int64)
+    return fit_chain(np.split(flat, ends[:-1]) if len(ends) else [], y, list(categories), fold)
 
 
 def score(
@@ -214,6 +230,16 @@ def probability(spark: SparkSession, text: Column, chain: Chain, category: str)
 CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that the chain does not find toxic; the verdict is made in the row.
+
+    Null and empty texts are judged as texts without words; rows without an id and repeated rows each for themselves.
+    Without labels all stay.
+    """
+    chain = train(docs, labels, CATEGORIES, text_col=text_col)
+    return docs.where(probability(docs.sparkSession, docs[text_col], chain, "toxic") < threshold)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Chain fitted on ``labels`` (``doc_id, quality, toxic``) and applied to all ``docs``. Without labels nothing is rejected."""
     return score(docs, train(docs, labels, CATEGORIES), "toxic", threshold)

@@ -6,7 +6,7 @@ import hashlib
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -277,6 +277,60 @@ def test_toxicity_on_held_out_rows(spark, empty):
     assert not any(r.rejected for r in toxicity.toxicity(docs, labels.where("false")).collect())
 
 
+def test_random_labels_look_random_to_unseen_rows():
+    """If features were chosen with the labels of all rows, the out-of-fold values would tell random labels apart."""
+    rng = np.random.default_rng(1)
+    rows = [np.unique(rng.integers(0, toxicity.BUCKETS, 300)).astype(np.int32) for _ in range(400)]
+    labels = rng.integers(0, 2, (400, 1))
+    seen = toxicity.out_of_fold(rows, labels, np.arange(400) % 4)[:, 0]
+    bad, good = seen[labels[:, 0] == 1], seen[labels[:, 0] == 0]
+    auc = (bad[:, None] > good).mean() + 0.5 * (bad[:, None] == good).mean()
+    assert abs(auc - 0.5) < 0.1
+
+
+def test_repeated_rows_of_a_labelled_id_count_once(spark):
+    rng = random.Random(3)
+    rows = [(i, prose(rng, 30) + (" gribble" * 3 if i % 2 else ""), "w", 1, 2) for i in range(80)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(80)], "doc_id bigint, quality int, toxic int")
+    once = toxicity.train(spark.createDataFrame(rows, SCHEMA), labels, toxicity.CATEGORIES)
+    often = toxicity.train(spark.createDataFrame(rows + [rows[3]] * 300, SCHEMA).repartition(4), labels, toxicity.CATEGORIES)
+    assert all(np.array_equal(a, b) for a, b in zip(once.weights, often.weights, strict=True)) and once.bias == often.bias
+
+
+@pytest.mark.parametrize("n_words", [12, 24, 48, 96, 160])
+def test_recall_at_the_full_number_of_edits(n_words):
+    """Copies with a tenth of their words edited, inside other words, are found as often as promised."""
+    rng = np.random.default_rng(n_words)
+    items = [rng.integers(1, 1 << 62, n_words).astype(np.uint64) for _ in range(20)]
+    classes = decontaminate.build(items, 0.1)
+    vocabulary = np.unique(np.concatenate(items))
+    found = total = 0
+    for _ in range(16):
+        texts = []
+        for item in items:
+            before, after = (rng.integers(1, 1 << 62, 60).astype(np.uint64) for _ in range(2))
+            texts.append(np.concatenate([before, decontaminate._edited(item, n_words // 10, rng), after]))
+        words, owner = np.concatenate(texts), np.repeat(np.arange(20), [len(t) for t in texts])
+        hits = {(t, i) for t, i, *_ in decontaminate.search(words, owner, 20, items, classes, vocabulary, 0.1)}
+        found, total = found + sum((i, i) in hits for i in range(20)), total + 20
+    assert found / total >= 0.975  # 0.99 in the long run; 320 trials
+
+
+def test_written_shards(spark, docs, empty, tmp_path):
+    names = [f"s{i}" for i in range(5)]
+    clash = docs.withColumnsRenamed({"words": "_slot", "fp": "_Shard"}).unionByName(
+        spark.range(200).select(F.lit(None).cast("bigint").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("w").alias("_slot"),
+                                F.lit(1).cast("bigint").alias("_Shard"), F.lit(2).alias("part")))
+    column = sharding.write_shards(clash, names, str(tmp_path / "shards"), size=101)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(back.columns) == {*clash.columns, column} and back.count() == clash.count()
+    want = Counter((r.doc_id, r.shard_name) for r in sharding.assign(clash, names, size=101).collect())
+    assert Counter((r.doc_id, r[column]) for r in back.collect()) == want
+    assert back.where("doc_id IS NULL").select(column).distinct().count() == 5
+    sharding.write_shards(empty, names, str(tmp_path / "none"), size=101)
+    assert not [p for p in (tmp_path / "none").iterdir() if p.is_dir()]
+
+
 def test_resampling(spark, empty):
     rng = random.Random(6)
     rows = [(i, prose(rng, 50) if i % 5 else "*** ".join(prose(rng, 50).split()), "w", 1, 2) for i in range(400)]
@@ -297,3 +351,49 @@ def test_top_k_by_counting(spark, k):
     keys = [rng.uniform(-100, 100) for _ in range(50)]
     got = importance.top_k(spark.createDataFrame([(x,) for x in keys], "key double"), k).where(F.col("kept")).collect()
     assert sorted(r.key for r in got) == sorted(keys)[max(0, 50 - k) :]
+
+
+@pytest.mark.parametrize("keys", [
+    [2e6, 3e6, 4e6], [-1e300, 1e300, 5.0, 5.0, 5.0], [0.0, -0.0, 1e-320, 5e-324], [1.0] * 9, [float(i) * 1e-9 for i in range(300)] + [1e12],
+    [1.7e308, -1.7e308, 1.0, 2.0],
+])
+def test_top_k_far_and_near_values(spark, keys):
+    frame = spark.createDataFrame([(x,) for x in keys], "key double").withColumn("_order", F.lit(1))
+    for k in {1, 2, len(keys) // 2, len(keys) - 1, len(keys)}:
+        last = sorted(keys, reverse=True)[k - 1]
+        got = importance.top_k(frame, k)
+        assert got.columns == ["key", "_order", "kept"]
+        assert sorted(r.key for r in got.where("kept").collect()) == sorted(x for x in keys if x >= last)
+
+
+def test_resampling_against_brute_force(spark):
+    rng = random.Random(7)
+    rows = {i: prose(rng, rng.randint(0, 40)) + ("!?" if i % 3 else "") for i in range(120)} | {500: None, 501: "a " * 30_000}
+    docs = spark.createDataFrame([(i, t, "w", 1, 2) for i, t in rows.items()], SCHEMA).repartition(4)
+    target = {i for i in rows if i % 3 == 0}
+    buckets = 512
+    got = {r.doc_id: r for r in importance.resample(docs, spark.createDataFrame([(i,) for i in target], "doc_id bigint"), share=0.3, buckets=buckets).collect()}
+
+    def grams(text):
+        words = importance.hashed_words([(text or "").encode().lower()], importance.MARK_BYTES)[0].tolist()
+        pairs = [int(importance.pair(np.array([a], np.uint64), np.array([b], np.uint64))[0]) for a, b in zip(words, words[1:], strict=False)]
+        return Counter(x % buckets for x in words + pairs)
+
+    bags = {i: grams(t) for i, t in rows.items()}
+    raw, good = sum(bags.values(), Counter()), sum((bags[i] for i in target), Counter())
+    share = {b: (raw[b] + 1) / (raw.total() + buckets) for b in range(buckets)}
+    ratio = {b: np.log((good[b] + buckets * share[b]) / (good.total() + buckets)) - np.log(share[b]) for b in range(buckets)}
+    noise = {r.doc_id: r.g for r in docs.select("doc_id", importance.gumbel(42, F.col("doc_id")).alias("g")).collect()}
+    keys = {}
+    for i, bag in bags.items():
+        weight = sum(ratio[b] * n for b, n in bag.items())
+        assert got[i].n_grams == bag.total() and got[i].log_weight == pytest.approx(weight, rel=1e-9, abs=1e-9)
+        keys[i] = weight + noise[i]
+    assert {i for i, r in got.items() if r.kept} == set(sorted(keys, key=keys.get)[-round(0.3 * len(rows)) :])
+
+
+def test_one_word_repeated_does_not_pile_up(spark):
+    texts = [(1, "x " * 60_000, "w", 1, 2), (2, "y " * 25, "w", 1, 2)]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substrings.remove_repeats(spark.createDataFrame(texts, SCHEMA)).collect()}
+    # a window that begins earlier in the same text covers everything but the first word
+    assert got == {1: (60_000, 59_999), 2: (25, 24)}
