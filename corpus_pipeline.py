@@ -4,37 +4,28 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from qaloom.llm import decontaminate, packing, simhash, substrings, toxicity
 from qaloom.llm.common import store, table
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that the chain, fitted on ``labels``, finds toxic; the verdict is made in the row."""
-    chain = toxicity.train(docs, table(spark, sf_dir, "labels"), toxicity.CATEGORIES)
-    return docs.where(toxicity.probability(spark, docs["text"], chain, "toxic") < 0.5)
+    """Drops documents that the chain, fitted on ``labels``, finds toxic."""
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least id of each group of near copies, once. Rows without an id all stay."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    first = groups.where("doc_id = component_id").select("doc_id")
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Keeps one document of each group of near copies."""
+    return simhash.one_of_each_group(docs)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes passages that occur earlier out of the texts; documents of which nothing is left go."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    result = substrings.remove_repeats(docs, with_text=True, carry=others).where("n_removed = 0 OR n_removed < n_words")
-    columns = {c: F.col(f"rest.{c}") for c in others}
-    columns |= {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("bigint")}
-    return result.select(*[columns[c].alias(c) for c in docs.columns])
+    return substrings.without_repeats(docs)
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item, up to a tenth of its words edited; the verdict is made in the row."""
+    """Drops documents that hold a benchmark item, up to a tenth of its words edited."""
     return decontaminate.without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
@@ -50,7 +41,8 @@ STAGES = [
     ("benchmark decontamination", decontaminate_benchmark),
     ("best-fit packing", pack),
 ]
-# Trained models, fingerprints and tokenizers are beyond SQL; tests hold run() against brute force.
+# Trained models, fingerprints and tokenizers are beyond SQL; tests/llm/test_pipeline.py holds every stage and run()
+# against brute force.
 ORACLE_SQL = None
 
 
