@@ -189,7 +189,24 @@ def with_shared_beginnings(turns: DataFrame, members: DataFrame) -> DataFrame:
     return taken.unionByName(own.withColumn("idx", moved).select(*turns.columns))
 
 
-@query()
+# CRC-32 of a short ASCII text, bit by bit: 3988292384 is the fixed polynomial.
+_CRC_SQL = """xor(list_reduce(list_concat([4294967295], list_transform(string_split({0}, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+
+@query(f"""WITH turns AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i,
+  struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) AS x FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(x ORDER BY i) AS xs, CAST({_CRC_SQL.format('CAST(c AS VARCHAR)')} % 6 AS BIGINT) AS h FROM turns GROUP BY c),
+built AS (SELECT a.c, list_concat(coalesce(b.xs[1:a.h], []), a.xs[a.h + 1:]) AS xs FROM own a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+prefixes AS (SELECT c, xs, CAST(unnest(range(len(xs) + 1)) AS BIGINT) AS d FROM built),
+nodes AS (SELECT xs[1:d] AS p, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(length(any_value(xs[d].t)), 0) AS v,
+  sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(xs) = d), '')) AS ends_sha256 FROM prefixes GROUP BY 1, 2),
+kids AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+placed AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (p)),
+above AS (SELECT p, v, n_children, unnest(range(d + 1)) AS k FROM placed),
+below AS (SELECT p[1:k] AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(v) AS saved FROM above GROUP BY 1)
+SELECT a.conv_id, a.d AS depth, b.conv_id AS parent_conv_id, a.n_convs, CAST(a.n_children AS BIGINT) AS n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM placed a JOIN below USING (p) LEFT JOIN nodes b ON a.d > 0 AND b.p = a.p[1:a.d - 1]""")
 def op13_prefix_trie(spark, sf_dir):
     turns = store(trie.ordered_turns(table(spark, sf_dir, "conversations")), "turns")
     members = turns.select("conv_id").distinct()
