@@ -242,10 +242,10 @@ def _contents(squeezed: DataFrame, spans: DataFrame) -> DataFrame:
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
         seen: dict[tuple[int, int], tuple] = {}
-        held = 0
+        held, out = 0, []
         for batch in batches:
             for ord_, tie, packed, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words, out = unpacker.decompress(packed).split() if packed else [], []
+                words = unpacker.decompress(packed).split() if packed else []
                 for span in spans:
                     units = [(s, 1) for s in range(span["start"], span["start"] + span["n"])] if span["crowded"] else [(span["start"], span["n"])]
                     for start, n in units:
@@ -265,8 +265,8 @@ def _contents(squeezed: DataFrame, spans: DataFrame) -> DataFrame:
                         if held > HELD:
                             yield from (batch_of(part) for part in _parts(seen))
                             seen, held = {}, 0
-                if out:
-                    yield batch_of(out)
+        if out:
+            yield batch_of(out)
         yield from (batch_of(part) for part in _parts(seen))
 
     return joined.mapInArrow(extract, _SEGMENT)
