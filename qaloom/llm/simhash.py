@@ -136,7 +136,7 @@ def _fingerprint_of(text: Column) -> Column:
         bits = np.fromiter((fingerprint(b or b"") for b in bodies), np.uint64, len(bodies))
         return pd.Series(bits.view(np.int64))
 
-    return compute(text.cast("binary"))
+    return compute.asNondeterministic()(text.cast("binary"))  # so that a filter on it does not compute it once more
 
 
 def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,8 +147,14 @@ def one_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     rows, labels = _grouped(docs, id_col, text_col)
     least = rows.join(labels, "fp").where("doc_id = component_id").groupBy("root").agg(F.min("doc_id").alias("_id"), F.min("fp").alias("_print"))
-    mark = fresh_name(docs, "print")
-    marked = docs.where(docs[id_col].isNotNull()).withColumn(mark, _fingerprint_of(docs[text_col]))
+    least = store(least, "least")
+    # an id with several fingerprints needs the row's own one; nearly all have one, and need no second look at their text
+    several = rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi")
+    several = store(several.select(F.col("doc_id").alias("_several")), "several")
+    key, mark = docs[id_col].cast("bigint"), fresh_name(docs, "print")
+    plain = docs.where(docs[id_col].isNotNull()).join(several, key == several["_several"], "left_anti")
+    kept = plain.join(least, plain[id_col].cast("bigint") == least["_id"], "left_semi").dropDuplicates([id_col])
+    marked = docs.join(several, key == several["_several"], "left_semi").withColumn(mark, _fingerprint_of(docs[text_col]))
     same = (marked[id_col].cast("bigint") == least["_id"]) & (marked[mark] == least["_print"])
-    kept = marked.join(least, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
-    return kept.unionByName(docs.where(docs[id_col].isNull()))
+    shared = marked.join(least, same, "left_semi").dropDuplicates([id_col, mark]).drop(mark)
+    return kept.unionByName(shared).unionByName(docs.where(docs[id_col].isNull()))
