@@ -69,12 +69,12 @@ def nested(n: int) -> list[tuple]:
     return [(c, t, "user", f"turn {t}") for c in range(n) for t in range(c + 1 if c % 5 else 9)]
 
 
-@pytest.mark.parametrize(("block_turns", "rows"), zip([4, 4, 4, 4, 4, 1, 1], [
+@pytest.mark.parametrize(("block_turns", "rows"), list(zip([4, 4, 4, 4, 4, 1, 1], [
     random_rows(1, 60, 9, 2), random_rows(2, 40, 14, 1), random_rows(3, 50, 6, 8), nested(40), [(7, 0, "user", "alone")],
     [(c, t, "user", "same") for c in range(0, 30_000, 1000) for t in range(9)],  # copies whose ids come in several chunks
     [(1, None, "user", "x"), (1, None, None, None), (1, 0, None, "y"), (1, 0, "user", None), (2, None, "", ""), (2, None, "user", "x"), (None, 0, "u", "t"),
      (3, None, "user", "x"), (3, None, "user", "x"), (3, -5, "é", "漢字𝔘"), (4, 1 << 40, "ab", "c"), (5, 9, "a", "bc"), (5, 9, "a", "bc")],
-], strict=True))
+], strict=True)))
 def test_nodes(spark, rows, block_turns):
     want = brute(by_turn(rows))
     assert collected(trie.prefix_trie(frame(spark, rows), block_turns=block_turns)) == want
