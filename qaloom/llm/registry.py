@@ -101,9 +101,11 @@ def op8_substrings(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+_TEMPLATE_SHINGLES = {name: licenses.template_shingles(text) for name, text in licenses.TEMPLATES.items()}
+_SIZE_CLASSES = licenses.size_classes(len(s) for s in _TEMPLATE_SHINGLES.values())
 _TEMPLATE_ROWS = ", ".join(
-    f"('{name}', {c['window']}, {c['stride']}, [{', '.join(repr(x) for x in licenses.template_shingles(licenses.TEMPLATES[name]))}])"
-    for c in licenses.size_classes(licenses.TEMPLATES) for name in c["names"]
+    f"('{name}', {_SIZE_CLASSES[len(s)][0]}, {_SIZE_CLASSES[len(s)][1]}, [{', '.join(repr(x) for x in s)}])"
+    for name, s in _TEMPLATE_SHINGLES.items()
 )
 
 
