@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from qaloom import schemas
 from qaloom.functions.jsontext import is_one_json_value
 from qaloom.functions.text import is_blank
-from qaloom.operators.dedupe import last_written, text_digest
+from qaloom.operators.dedupe import last_written, packed, text_digest
 from qaloom.operators.order import running_sum
 from qaloom.operators.splits import SPLITS
 from qaloom.sources.files import path_exists
@@ -149,6 +149,11 @@ def latest_lines(entries: DataFrame, lines: DataFrame) -> DataFrame:
     offsets = splits.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
     narrow = entries.select(text_digest("query").alias("key"), "file", "block", "line").join(offsets, ["file", "block"])
     numbered = narrow.select("key", "line", (F.col("offset") + F.col("line") - F.col("first")).alias("number"))
+    return _last_entries(entries, numbered)
+
+
+def _last_entries(entries: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The entries whose ``number`` is the largest of their query; ``numbered`` has key, line and number, no responses."""
     winners = numbered.groupBy("key").agg(F.max_by("line", "number").alias("line"), F.max("number").alias("number"))
     return entries.drop("file", "block").join(winners.drop("key"), "line").drop("line")
 
@@ -158,10 +163,26 @@ def log_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", *_line_order())
 
 
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """Append log -> latest response per query. Files are ordered by name, lines by position."""
-    lines = log_lines(spark, path)
-    return latest_lines(parse_cache(lines), lines).drop("number")
+def file_ranks(spark: SparkSession, path: str) -> DataFrame:
+    """``file, rank``: the files below a path in the order of their names, from the listing; no content is read."""
+    files = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("file"))
+    return files.select("file", F.row_number().over(Window.orderBy("file")).alias("rank"))
+
+
+def read_cache(spark: SparkSession, path: str, broadcast_files: int = 100_000) -> DataFrame:
+    """Append log -> latest response per query. Files are ordered by name, lines by position.
+
+    A line's place is its file's rank in the listing, the start of its split and its number in there, so the log is read
+    twice: for digests and places, and for the last entries themselves. Up to ``broadcast_files`` ranks are broadcast;
+    those of more files are joined by file.
+    """
+    entries, ranks = parse_cache(log_lines(spark, path)), file_ranks(spark, path)
+    if ranks.count() <= broadcast_files:
+        ranks = F.broadcast(ranks)
+    row = F.col("line") % (1 << 33)  # the number in its task, which grows within the split
+    place = packed(("rank", 30), ("block", 46), (row, 33)).alias("number")
+    numbered = entries.select(text_digest("query").alias("key"), "file", "block", "line").join(ranks, "file").select("key", "line", place)
+    return _last_entries(entries, numbered).drop("number")
 
 
 # Layout of one log line, of a metric event, and the mark of a (re)start.

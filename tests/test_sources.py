@@ -48,6 +48,25 @@ def test_last_write_survives_many_small_file_splits(spark, tmp_path):
     assert got == {f"q{k}": max(i for i in range(2000) if i % 7 == k) for k in range(7)}
 
 
+@pytest.mark.parametrize("broadcast_files", [0, 100])
+def test_last_write_over_files_read_twice(spark, tmp_path, broadcast_files):
+    """Files count in the order of their names, whichever is larger or listed first, and the log is scanned twice."""
+    want = {}
+    for name, n in [("10 a%b.jsonl", 900), ("9.jsonl", 40), ("1.jsonl", 300), ("empty.jsonl", 0)]:
+        lines = [json.dumps({"query": f"q{i % (n // 2)}", "response": {"answer": f"{name} {i}"}}) for i in range(n)]
+        write(tmp_path / "log" / name, *lines)
+    for name, n in [("1.jsonl", 300), ("10 a%b.jsonl", 900), ("9.jsonl", 40)]:
+        want |= {f"q{i % (n // 2)}": f"{name} {i}" for i in range(n)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        latest = readers.read_cache(spark, str(tmp_path / "log"), broadcast_files)
+        got = {r.query: r.response.answer for r in latest.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == want
+    assert latest._jdf.queryExecution().sparkPlan().toString().count("FileScan text") == 2
+
+
 LOG = [
     "2031-02-03 04:05:06,007 - INFO - Training started, run r1",
     "2031-02-03 04:06:30,500 - INFO - Step 10: loss=1.5, grad_norm=1.0, learning_rate=1e-05",
