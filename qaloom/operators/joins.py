@@ -28,17 +28,17 @@ def hot_buckets(df: DataFrame, key: str, min_rows: int) -> DataFrame:
 
 
 def lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, id_col: str, how: str = "left",
-           keys: DataFrame | None = None, salts: int = 64, min_rows: int = 10_000) -> DataFrame:
+           hot: DataFrame | None = None, salts: int = 64, min_rows: int = 10_000) -> DataFrame:
     """Many-to-one join on a key of which one value may hold a large part of ``left``.
 
     ``right`` has at most one row per key; ``id_col`` is unique in ``left``. Left rows of hot buckets are
     spread over ``salts`` partitions by row id, and only those buckets' right rows are replicated
-    (under HOT_SHARE of KEY_BUCKETS buckets). ``keys`` is a cheaper table with the same left keys, if
-    ``left`` is costly to compute. Returns the left columns and the right side's other columns.
+    (under HOT_SHARE of KEY_BUCKETS buckets). ``hot`` is the result of ``hot_buckets``, if several lookups are to share
+    one count. Returns the left columns and the right side's other columns.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how!r}")
-    hot = F.broadcast(hot_buckets(left if keys is None else keys, left_key, min_rows))  # < HOT_SHARE rows
+    hot = F.broadcast(hot_buckets(left, left_key, min_rows) if hot is None else hot)  # < HOT_SHARE rows
     spread = F.when(F.col("_hot"), F.pmod(F.xxhash64(id_col), F.lit(salts))).otherwise(F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_left = left.withColumn("_bucket", _key_bucket(left_key)).join(hot, "_bucket", "left")

@@ -13,7 +13,7 @@ from qaloom.functions.text import remove_white_space, token_count, utrim
 from qaloom.functions.vectors import dot, l2_normalise
 from qaloom.operators.batches import map_text, map_texts
 from qaloom.operators.formats import prompt_generate
-from qaloom.operators.joins import lookup
+from qaloom.operators.joins import hot_buckets, lookup
 from qaloom.operators.profiling import length_table
 from qaloom.schemas import require_columns
 
@@ -27,6 +27,8 @@ GENERATE_BATCH = 16
 EMBED_BATCH = 32
 DROP_REASON = "too_similar (score>={})"
 
+MIN_HOT_ROWS = 10_000  # pointers to vectors of one key bucket before they are spread
+
 
 def generate_rejected(qa: DataFrame, generate: Callable, batch_size: int = GENERATE_BATCH) -> DataFrame:
     """prompt, chosen, rejected (and the other columns) from question, answer.
@@ -50,12 +52,15 @@ def join_vectors(pairs: DataFrame, vectors: DataFrame, id_col: str, sides: dict[
                  vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """Attaches one vector column per side; ``sides`` maps the new column to the pair's vector id column.
 
-    Many pairs may point at one vector (a stock answer), hence the skew-proof lookup.
+    Many pairs may point at one vector (a stock answer), hence the skew-proof lookup. Hot pointers are counted once, over
+    all sides together.
     """
     out = pairs
+    pointers = pairs.select(F.explode(F.array(*sides.values())).alias("_vid"))
+    hot = hot_buckets(pointers, "_vid", MIN_HOT_ROWS)
     for name, pointer in sides.items():
         side = vectors.select(F.col(vec_id).alias("_vid"), F.col(embedding).alias(name))
-        out = lookup(out, side, pointer, "_vid", id_col, keys=pairs)
+        out = lookup(out, side, pointer, "_vid", id_col, hot=hot)
     return out
 
 

@@ -55,6 +55,17 @@ def test_scores_need_no_shuffle_of_their_own(spark):
     assert not [n for n in scored + f1 if n.startswith("BatchEvalPython")]
 
 
+def test_hot_pointers_of_both_sides_are_counted_once(spark):
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = nodes(plan_of(spark, "pref_audit"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len([n for n in plan if n.startswith("HashAggregate(keys=[_bucket")]) == 2  # partial and final
+    assert [n for n in plan if n.startswith("ReusedExchange [_bucket")]
+
+
 def test_retained_checkpoints_are_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan_of(spark, "run_keep_last2")
 

@@ -90,3 +90,14 @@ def test_length_bias(spark):
     df = spark.createDataFrame([("a", "b c", ""), ("a a", "b", "x y z")], "prompt string, chosen string, rejected string")
     row = prefs.length_bias(df).collect()[0]
     assert (row.n_rows, row.prompt_avg, row.chosen_max, row.rejected_min, row.rejected_max) == (2, 1.5, 2, 0, 3)
+
+
+def test_vectors_of_pairs_that_mostly_point_at_one(spark, monkeypatch):
+    monkeypatch.setattr(prefs, "MIN_HOT_ROWS", 50)
+    pairs = spark.range(900).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 40).cast("long").alias("a"),
+                                    F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 45).cast("long").alias("b"))
+    vectors = spark.range(40).select(F.col("id").alias("vec_id"), F.array(F.col("id").cast("double")).alias("embedding"))
+    rows = prefs.join_vectors(pairs, vectors, "id", {"x": "a", "y": "b"}).collect()
+    assert len(rows) == len({r.id for r in rows}) == 900
+    for r in rows:
+        assert r.x == [float(r.a)] and r.y == (None if r.b is None or r.b >= 40 else [float(r.b)])
