@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from qaloom.llm import components, decontaminate, importance, licenses, packing, rules, sharding, simhash, substrings, tokens, toxicity
+from qaloom.llm import components, decontaminate, importance, licenses, packing, registry, rules, sharding, simhash, substrings, tokens, toxicity
 
 SCHEMA = "doc_id bigint, text string, words string, fp bigint, part int"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -117,6 +117,24 @@ def test_shards(docs, empty):
         sharding.lookup_table(names, 100)
 
 
+def test_table_of_the_query_filled_another_way():
+    """Whole preference lists, from which each shard in turn takes its first slot that nobody has."""
+    size, owner = sharding.TABLE_SIZE, {}
+    preferences = []
+    for name in registry.SHARDS:
+        digest = hashlib.md5(name.encode()).hexdigest()
+        start, step = int(digest[:16], 16) % size, int(digest[16:], 16) % (size - 1) + 1
+        order = (start + step * np.arange(size, dtype=object)) % size
+        assert len(set(order)) == size
+        preferences.append(iter(order))
+    while len(owner) < size:
+        for shard, wanted in enumerate(preferences):
+            slot = next((s for s in wanted if s not in owner), None)
+            if slot is not None:
+                owner[slot] = shard
+    assert [owner[s] for s in range(size)] == sharding.lookup_table(registry.SHARDS)
+
+
 def _measured(text: str) -> tuple:
     words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
     windows = defaultdict(list)
