@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -21,33 +22,64 @@ _WHITE = re.compile(f"[{UNICODE_WS}]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space for str.split, not for the tokenizer
 # The tokenizer's own split, for lower-case Latin-1 words.
 _LATIN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^a-z0-9ªµºß-öø-ÿ²³¹¼½¾]+")
+_LONG = 64  # characters; longer words are not kept, so entries bound the memory
+
+
+class PieceIds(dict):
+    """Piece of the tokenizer's own split, lower-case -> its token ids; bounded worker cache."""
+
+    def __init__(self, tokenizer: Tokenizer, capacity: int):
+        super().__init__()
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_letters = {i: to_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
+        self.tokenize, self.capacity, self.before = tokenizer.model.tokenize, capacity // 2, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        data = self.before.get(piece)
+        if data is None:
+            # printable ASCII letters stand for their own bytes
+            letters = piece if piece.isascii() and piece.isprintable() else piece.translate(self.byte_letters)
+            ids = [t.id for t in self.tokenize(letters)]
+            data = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= _LONG:
+            if len(self) >= self.capacity:
+                self.before = dict(self)
+                self.clear()
+            self[piece] = data
+        return data
 
 
 class WordIds(dict):
     """Word between white space -> its token ids as little-endian unsigned 32-bit bytes; bounded worker cache.
 
     The tokenizer drops white space and never looks across it, so a text's ids are those of its words in turn.
-    Latin-1 words go to the model straight, all others through the whole library call.
+    Latin-1 words go to the model straight, piece by piece, all others through the whole library call. Both caches
+    are of two generations: when the newer is full it becomes the older, and what is used again moves over. Very long
+    words are not kept.
     """
 
     def __init__(self, path: str, capacity: int):
         super().__init__()
-        self.tokenizer, self.capacity = Tokenizer.from_file(path), capacity
+        self.tokenizer, self.capacity, self.before = Tokenizer.from_file(path), capacity // 2, {}
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_ids = {s: np.array([i], "<u4").tobytes() for s, i in special.items()}
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")")
-        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.byte_letters = {i: to_bytes.pre_tokenize_str(chr(i))[0][0] for i in range(256)}
-        self.tokenize = self.tokenizer.model.tokenize
+        self.pieces = PieceIds(self.tokenizer, capacity)
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.capacity:
-            self.clear()
-        if word.isascii() or max(word) <= "\xff":
-            ids = [t.id for p in _LATIN.findall(word.lower()) for t in self.tokenize(p.translate(self.byte_letters))]
-        else:
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        data = self[word] = np.array(ids, "<u4").tobytes()
+        data = self.before.get(word)
+        if data is None:
+            if word.isascii() and word.isalpha():
+                data = self.pieces[word.lower()]
+            elif word.isascii() or max(word) <= "\xff":
+                data = b"".join(map(self.pieces.__getitem__, _LATIN.findall(word.lower())))
+            else:
+                data = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(word) <= _LONG:
+            if len(self) >= self.capacity:
+                self.before = dict(self)
+                self.clear()
+            self[word] = data
         return data
 
     def _plain(self, text: str) -> bytes:
@@ -56,7 +88,7 @@ class WordIds(dict):
 
     def ids(self, text: str) -> bytes:
         """Ids of a whole text; the special strings in it are their tokens, as the library takes them by default."""
-        if not self.special_ids or "<|" not in text and not self.special.search(text):
+        if not self.special_ids or not self.special.search(text):
             return self._plain(text)
         return b"".join(self.special_ids.get(p) or self._plain(p) for p in self.special.split(text))
 
@@ -72,7 +104,7 @@ def _word_ids(path: str, capacity: int) -> WordIds:
 
 def token_pieces(
     docs: DataFrame, path: str, capacity: int, end_id: int = 0, *, id_col: str = "doc_id", text_col: str = "text",
-    cache_size: int = 400_000,
+    cache_size: int = 800_000,
 ) -> DataFrame:
     """Pieces of at most ``capacity`` tokens of every text: ids of the text, then ``end_id``, cut where too long.
 
