@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from qaloom.llm.common import id_text
+from qaloom.llm.common import id_text, store
 from qaloom.llm.hashing import ALNUM_BYTES, blocks, hashed_words, mix
 
 SAMPLES = 3  # embedding positions in one hash
@@ -195,26 +196,29 @@ def search(words: np.ndarray, owner: np.ndarray, n_texts: int, items: list[np.nd
     return [(text, item, s, e, d) for (text, item), (d, s, e) in sorted(best.items())]
 
 
-def item_blocks(benchmark: DataFrame, size: int, item_col: str, text_col: str) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of ``size``, in the order of their id; items without an id or words are left out."""
-    rows = benchmark.select(benchmark[item_col].cast("bigint").alias("item_id"), benchmark[text_col].cast("binary").alias("body"))
-    block: list[tuple[int, bytes]] = []
-    for row in rows.dropna().distinct().orderBy("item_id", "body").toLocalIterator():
-        block.append((row.item_id, bytes(row.body)))
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def _prepared(benchmark: DataFrame, share: float, recall: float, size: int, item_col: str, text_col: str) -> Iterator[tuple]:
-    """Per block of items: ids, hashed words, size classes and vocabulary, for a broadcast."""
-    for block in item_blocks(benchmark, size, item_col, text_col):
-        hashed = [hashed_words([body.lower()], ALNUM_BYTES)[0] for _, body in block]
+    """Per block of about ``size`` items: ids, hashed words, size classes and vocabulary, for a broadcast.
+
+    Items are dealt to blocks by a hash; a task builds the tables of a block, and all are stored before the first is
+    read, so blocks are built side by side and the driver holds one at a time. Items without an id or words are left out.
+    """
+    rows = benchmark.select(benchmark[item_col].cast("bigint").alias("item_id"), benchmark[text_col].cast("binary").alias("body"))
+    rows = rows.dropna().distinct()
+    n_blocks = -(-rows.count() // size)
+    if not n_blocks:
+        return
+
+    def tables(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["item_id", "body"])
+        hashed = [hashed_words([body.lower()], ALNUM_BYTES)[0] for body in block["body"]]
         classes = build(hashed, share, recall)
-        if classes:
-            yield [i for i, _ in block], hashed, classes, np.unique(np.concatenate([c.vocabulary for c in classes]))
+        out = block["item_id"].tolist(), hashed, classes, np.unique(np.concatenate([c.vocabulary for c in classes])) if classes else None
+        return pd.DataFrame({"block": block["block"].iloc[:1], "tables": [pickle.dumps(out) if classes else None]})
+
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("item_id", "body"), F.lit(n_blocks)))
+    built = store(dealt.groupBy("block").applyInPandas(tables, "block bigint, tables binary"), "benchmark")
+    for row in built.dropna().toLocalIterator():
+        yield pickle.loads(row.tables)
 
 
 def _search_batch(bodies: list[bytes], prepared: tuple, share: float) -> Iterator[tuple[int, int, int, int, int]]:
@@ -237,7 +241,8 @@ def matches(
     distance to Hamming distance; several samples of the embedding's positions are looked up among those of the items,
     as often as ``recall`` asks for at the full number of edits; what matches is verified by the edit distance
     itself. An item counts once per document, with its best place. The items are searched for in blocks of
-    ``block_size``, one pass over the texts each, so a broadcast is bounded; texts are never shuffled.
+    about ``block_size``, one pass over the texts each, so a broadcast is bounded; texts are never shuffled. Items of
+    one id are versions of one item, reported under that id once, with the best of them.
     Items or texts that are null or have no words match nothing. Matches in rows without an id have a null id; rows
     with the same id are reported together; other columns are ignored.
     """

@@ -248,7 +248,8 @@ def plan(histogram: dict[int, int], capacity: int, grid: int = 32) -> np.ndarray
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, *, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, *, id_col: str = "doc_id", text_col: str = "text",
+    cache_size: int = 800_000,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset``: one row per piece, every token in one place.
 
@@ -256,9 +257,9 @@ def pack(
     the driver sees; it makes the plan. The number of a piece among those of its length is its place within its task
     plus the counts of the tasks before, so a length that a third of all pieces have is neither sorted nor sent to
     one task. Null or empty text: one piece with ``end_id`` alone. Ids may be null or repeat; a longer document is
-    cut, and only such.
+    cut, and only such. ``cache_size`` bounds what a worker remembers (about 300 MB at the default).
     """
-    pieces = store(token_pieces(docs, path, capacity, end_id, id_col=id_col, text_col=text_col), "pieces")
+    pieces = store(token_pieces(docs, path, capacity, end_id, id_col=id_col, text_col=text_col, cache_size=cache_size), "pieces")
     sizes = store(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "piece_counts")
     histogram = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     places = pieces.sparkSession.sparkContext.broadcast(plan(histogram, capacity))

@@ -225,6 +225,33 @@ def test_decontamination(spark, empty):
     assert decontaminate.matches(docs, bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("block_size", [1, 4, 20_000])
+def test_items_of_one_id_and_repeated_items(spark, block_size):
+    """Two texts of one id are one item, whichever block they are in; a repeated row and rows without words add nothing."""
+    rng = random.Random(5)
+    one, two, other = (" ".join(f"w{rng.randrange(900)}" for _ in range(n)) for n in (20, 26, 22))
+    near = " ".join(["zz", *two.split()[1:]])
+    bench = spark.createDataFrame([(1, one), (1, two), (1, two), (2, other), (3, "!?"), (None, other)], "item_id bigint, text string")
+    texts = [f"a {one} b", f"a {near} b", f"a {near} c {one}", f"{one} {other}", "a b c", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.matches(docs, bench, block_size=block_size).collect()}
+    assert got == {(0, 1): 0, (1, 1): 1, (2, 1): 0, (3, 1): 0, (3, 2): 0}
+    assert {r.doc_id for r in decontaminate.without_matches(docs, bench, block_size=block_size).collect()} == {4, 5}
+
+
+@pytest.mark.parametrize("capacity", [2, 7, 1000])
+def test_word_ids_do_not_depend_on_the_cache(capacity):
+    """Ids as the library gives them, for caches that turn over all the time and for letters of any kind."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    words, rng = packing.WordIds(path, capacity), random.Random(capacity)
+    letters = [chr(c) for c in range(1, 256)] + list("aAzZ'sStd") * 4 + list("\u0130\u017f\u212a\u5b57\ufb01") + ["n't ", " ", "<|endoftext|>"] * 8
+    texts = ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(400)] + ["x" * 5_000, "y" * 70 + " " + "y" * 70]
+    for text in texts:
+        ids = np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+        assert words.ids(text) == ids.tobytes()
+    assert len(words) + len(words.before) <= max(capacity, 2) and max(map(len, words.pieces), default=0) <= 64
+
+
 def test_licenses(spark, empty):
     notice = licenses.TEMPLATES["mit-permission"]
     cut = " ".join(notice.split()[:-3])
