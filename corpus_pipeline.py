@@ -30,8 +30,8 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The places of all pieces of the remaining documents."""
-    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+    """The places of all pieces of the remaining documents. Workers still hold what earlier stages left, so they remember less."""
+    return packing.pack(docs.select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), cache_size=250_000)
 
 
 STAGES = [
