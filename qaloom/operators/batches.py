@@ -13,17 +13,23 @@ from pyspark.sql import types as T
 def map_batches(df: DataFrame, fn: Callable, batch_size: int, schema: str | T.StructType) -> DataFrame:
     """Applies ``fn(pandas frame) -> pandas frame`` to batches of at most ``batch_size`` rows.
 
-    Runs inside the tasks over Arrow batches; rows keep their partition.
+    Runs inside the tasks over Arrow batches; rows keep their partition. A task holds what the session's Arrow limits on
+    rows and bytes let through at a time, however many rows follow. Text columns wait in it as UTF-8 and are decoded for
+    one batch of ``fn`` only, as decoded text takes up to four bytes a character.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+
+    def decoded(part: pd.DataFrame) -> pd.DataFrame:
+        return part.assign(**{c: pd.Series([None if t is None else t.decode() for t in part[c]], part.index) for c in texts})
 
     def run(frames: Iterator) -> Iterator:
         for frame in frames:
             for start in range(0, len(frame), batch_size):
-                yield fn(frame.iloc[start:start + batch_size])
+                yield fn(decoded(frame.iloc[start:start + batch_size]))
 
-    return df.mapInPandas(run, schema)
+    return df.withColumns({c: df[c].cast("binary") for c in texts}).mapInPandas(run, schema)
 
 
 def map_texts(df: DataFrame, columns: dict[str, str], fn: Callable, batch_size: int, element: T.DataType) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,6 +98,44 @@ def test_batches_never_exceed_their_size(spark):
     assert got.count() == 50 and got.agg(F.max("n")).first()[0] <= 4
 
 
+def test_batches_decode_only_their_own_texts(spark):
+    rows, chars = 4000, 4000
+    df = spark.range(0, rows, 1, 1).withColumn("text", F.concat(F.lpad(F.col("id").cast("string"), chars, "a"), F.lit("\U0001F600")))
+
+    def peak(frame):
+        import tracemalloc
+
+        if not tracemalloc.is_tracing():
+            tracemalloc.start()  # in the first Arrow batch; the second is seen whole
+        found = frame.assign(same=[len(t) == chars + 1 for t in frame["text"]], peak=tracemalloc.get_traced_memory()[1])
+        if (frame["id"] == rows - 1).any():
+            tracemalloc.stop()
+        return found[["same", "peak"]]
+
+    got = map_batches(df, peak, 16, "same boolean, peak long").agg(F.count_if("same").alias("n"), F.max("peak").alias("peak")).first()
+    assert got.n == rows
+    # an Arrow batch of this session has 2,000 rows: 8 MB as it came, 8 MB as UTF-8, 32 MB as text of four bytes a character
+    assert 8e6 < got.peak < 24e6
+
+
+def test_batches_are_the_frames_that_spark_makes(spark):
+    rows = [(i, None if i % 3 == 0 else f"é{i}\U0001F600", "", i / 2, i % 2 == 0, [f"x{i}", None], None, b"\xff") for i in range(40)]
+    types = "id long, s string, `e m` string, x double, flag boolean, list array<string>, none string, raw binary"
+    df = spark.createDataFrame(rows, types).repartition(1).sortWithinPartitions("id")
+
+    def shown(frame):
+        return pd.DataFrame({"s": [repr((list(frame.columns), [str(d) for d in frame.dtypes], list(frame.index), frame.values.tolist()))]})
+
+    def cut(frames):
+        for frame in frames:
+            for start in range(0, len(frame), 16):
+                yield shown(frame.iloc[start:start + 16])
+
+    got = [r.s for r in map_batches(df, shown, 16, "s string").collect()]
+    assert got == [r.s for r in df.mapInPandas(cut, "s string").collect()] and len(got) == 3
+    assert map_batches(df.select("id"), lambda f: f, 16, "id long").count() == 40
+
+
 def test_pairs_need_an_assistant_turn_right_after(spark):
     turns = [(1, 0, "system", "s"), (1, 1, "user", "u1"), (1, 2, "user", "u2"), (1, 3, "assistant", "a2"), (2, 0, "user", "u3")]
     df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
